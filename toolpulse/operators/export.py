@@ -4,6 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from toolpulse import schemas as S
 from toolpulse.functions.features import to_raw_names
@@ -96,7 +97,7 @@ class TrainingStore:
         return writers.table_exists(self.spark, self.path)
 
     def rows(self) -> DataFrame:
-        raw = S.RAW_TRAINING_SCHEMA.add(SOURCE_ID, "long")
+        raw = T.StructType([*S.RAW_TRAINING_SCHEMA, T.StructField(SOURCE_ID, T.LongType())])
         return readers.to_clean_names(self.spark.read.schema(raw).parquet(self.path))
 
     def training(self) -> DataFrame:

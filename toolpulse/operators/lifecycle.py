@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from toolpulse import schemas as S
-from toolpulse.operators.ranking import MAX_RANGES, range_count, range_of
+from toolpulse.operators.ranking import ROWS_PER_RANGE, literal_range, range_edges
 
 
 def expected_and_observed(readings: DataFrame, n_readings: Column) -> DataFrame:
@@ -18,7 +18,7 @@ def expected_and_observed(readings: DataFrame, n_readings: Column) -> DataFrame:
     )
 
 
-def tool_cycles(readings: DataFrame, order: str = "id", rows_per_range: int = 200_000) -> DataFrame:
+def tool_cycles(readings: DataFrame, order: str = "id", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """One row per machine and tool: readings, highest wear and failures.
 
     A tool is replaced where wear falls. The log is cut into ranges of the
@@ -26,14 +26,7 @@ def tool_cycles(readings: DataFrame, order: str = "id", rows_per_range: int = 20
     what a range has to know of the earlier ones is their last wear and their
     number of replacements, one small row per machine and range.
     """
-    cuts = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    profile = readings.agg(
-        F.count("*").alias("n"), F.percentile_approx(order, cuts, 10 * MAX_RANGES).alias("edges")
-    ).first()
-    ranges = range_count(profile["n"], rows_per_range)
-    step = MAX_RANGES / ranges
-    edges = sorted({profile["edges"][round(i * step) - 1] for i in range(1, ranges)}) if profile["n"] else []
-    part = range_of(F.col(order), F.array(*[F.lit(e) for e in edges])) if edges else F.lit(0)
+    part = literal_range(order, range_edges(readings, order, rows_per_range))
     wear = F.col("tool_wear_minutes")
 
     inside = Window.partitionBy("machine_id", "__range").orderBy(order)

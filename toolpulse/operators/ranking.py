@@ -92,26 +92,39 @@ def prefix_sums(
     return out.drop("__range", "__next_first", *[f"__o_{c}" for c in sums])
 
 
-def row_numbers(df: DataFrame, order: str, name: str, start: int = 1, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Consecutive numbers from ``start`` in the order of a unique numeric column."""
+def range_edges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> list:
+    """Cut points that spread a numeric column over ranges; empty for few rows."""
     cuts = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    profile = df.agg(
-        F.count("*").alias("n"), F.percentile_approx(order, cuts, 10 * MAX_RANGES).alias("edges")
-    ).first()
+    profile = df.agg(F.count("*").alias("n"), F.percentile_approx(order, cuts, 10 * MAX_RANGES).alias("edges")).first()
     ranges = range_count(profile["n"], rows_per_range)
     step = MAX_RANGES / ranges
-    edges = sorted({profile["edges"][round(i * step) - 1] for i in range(1, ranges)}) if profile["n"] else []
+    return sorted({profile["edges"][round(i * step) - 1] for i in range(1, ranges)}) if profile["n"] else []
+
+
+def literal_range(order: str, edges: list) -> Column:
+    return range_of(F.col(order), F.array(*[F.lit(e) for e in edges])) if edges else F.lit(0)
+
+
+def row_numbers(
+    df: DataFrame, order: str, name: str, start: int = 1, by: str | None = None, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """Consecutive numbers from ``start`` in the order of a unique numeric column, per ``by`` if given."""
+    edges = range_edges(df, order, rows_per_range)
+    keys = [by] if by else []
     if not edges:
-        return df.withColumn(name, (F.row_number().over(Window.orderBy(order)) + F.lit(start - 1)).cast("long"))
-    ranged = df.withColumn("__range", range_of(F.col(order), F.array(*[F.lit(e) for e in edges])))
-    sizes = {r["__range"]: r["count"] for r in ranged.groupBy("__range").count().collect()}
-    offsets, total = [], start - 1
-    for i in range(len(edges) + 1):
-        offsets.append(total)
-        total += sizes.get(i, 0)
-    window = Window.partitionBy("__range").orderBy(order)
-    base = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__range") + 1)
-    return ranged.withColumn(name, (F.row_number().over(window) + base).cast("long")).drop("__range")
+        window = Window.partitionBy(*keys).orderBy(order)
+        return df.withColumn(name, (F.row_number().over(window) + F.lit(start - 1)).cast("long"))
+    ranged = df.withColumn("__range", literal_range(order, edges))
+    sizes = ranged.groupBy(*keys, "__range").count()
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"))
+    window = Window.partitionBy(*keys, "__range").orderBy(order)
+    numbered = ranged.withColumn("__place", F.row_number().over(window))
+    if not by:  # at most MAX_RANGES rows
+        offsets = F.broadcast(offsets)
+    joined = numbered.join(offsets, [*keys, "__range"])
+    value = (F.col("__place") + F.col("__offset") + (start - 1)).cast("long")
+    return joined.withColumn(name, value).drop("__range", "__place", "__offset")
 
 
 def hash_cuts(df: DataFrame, group: str, digest: str, wanted) -> dict[object, list[str | None]]:

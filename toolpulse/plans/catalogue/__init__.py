@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from toolpulse.plans.catalogue import columns, drift  # noqa: F401
+    from toolpulse.plans.catalogue import columns, drift, tables  # noqa: F401

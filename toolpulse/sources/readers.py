@@ -79,3 +79,11 @@ def parse_requests(requests: DataFrame, payload: str = "payload") -> tuple[DataF
     keep = [c for c in requests.columns if c != payload]
     readings = parsed.where(filled).select(*keep, F.posexplode("readings").alias("position", "reading"))
     return readings.select(*keep, "position", "reading.*"), parsed.where(~filled).select(*keep)
+
+
+def training_window(training: DataFrame, rows: int | None = S.TRAINING_WINDOW) -> DataFrame:
+    """The last ``rows`` of the training table by id; ``None`` takes all of it.
+
+    Like the reading limit, this gathers ``rows`` in one task.
+    """
+    return training if rows is None else training.orderBy(F.desc("udi")).limit(rows)
