@@ -9,6 +9,7 @@ import duckdb
 
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
+SPENT = {}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 
@@ -34,6 +35,7 @@ def normal(rows, names):
 def compare(df, sql, con):
     names = df.columns
     got = [tuple(r) for r in df.collect()]
+    SPENT["spark"] = time.time()
     relation = con.sql(sql)
     wanted = relation.fetchall()
     if sorted(names) != sorted(relation.columns):
@@ -80,6 +82,7 @@ def main():
         if wanted and not any(name.startswith(w) for w in wanted):
             continue
         start = time.time()
+        SPENT["spark"] = start
         try:
             if name in oracles:
                 problem = compare(run(spark, sf_dir), oracles[name], con)
@@ -90,7 +93,7 @@ def main():
         except Exception as exc:  # report and go on with the next query
             problem = note = f"{type(exc).__name__}: {str(exc)[:600]}"
         bad += bool(problem)
-        print(f"{'FAIL' if problem else 'pass'} {name:34s} {time.time() - start:6.1f}s  {note}", flush=True)
+        print(f"{'FAIL' if problem else 'pass'} {name:34s} {time.time() - start:6.1f}s (spark {SPENT['spark'] - start:5.1f})  {note}", flush=True)
     print(f"{bad} failing", flush=True)
 
 

@@ -27,27 +27,30 @@ Z_TEST = "z_p_value"
 def unpivot_features(
     df: DataFrame, *keep: str, numeric: list[str] = S.NUMERIC_FEATURES, categorical: list[str] = S.CATEGORICAL_FEATURES
 ) -> DataFrame:
-    """One row per feature: ``feature, category, value`` (one of the last two is null)."""
-    parts = [f"'{c}', `{c}`, cast(null as double)" for c in categorical]
-    parts += [f"'{c}', cast(null as string), cast(`{c}` as double)" for c in numeric]
-    return df.selectExpr(*keep, f"stack({len(parts)}, {', '.join(parts)}) as (feature, category, value)")
+    """One row per feature: ``f, category, value``; ``f`` is the place in ``categorical + numeric``."""
+    parts = [f"`{c}`, cast(null as double)" for c in categorical]
+    parts += [f"cast(null as string), cast(`{c}` as double)" for c in numeric]
+    rows = ", ".join(f"{i}, {part}" for i, part in enumerate(parts, 1))
+    return df.selectExpr(*keep, f"stack({len(parts)}, {rows}) as (f, category, value)")
+
+
+def name_features(df: DataFrame, numeric=S.NUMERIC_FEATURES, categorical=S.CATEGORICAL_FEATURES) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in [*categorical, *numeric]])
+    return df.select(F.element_at(names, F.col("f")).alias("feature"), *[c for c in df.columns if c != "f"])
 
 
 def value_counts(reference: DataFrame, current: DataFrame, **features) -> DataFrame:
     """``feature, category, value, n_ref, n_cur`` for every distinct value of either side."""
-    ref = unpivot_features(reference, **features).withColumns({"r": F.lit(1), "c": F.lit(0)})
-    cur = unpivot_features(current, **features).withColumns({"r": F.lit(0), "c": F.lit(1)})
-    return (
-        ref.unionByName(cur)
-        .groupBy("feature", "category", "value")
-        .agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
-    )
+    ref = unpivot_features(reference, "1 as r", "0 as c", **features)
+    cur = unpivot_features(current, "0 as r", "1 as c", **features)
+    counts = ref.union(cur).groupBy("f", "category", "value").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
+    return name_features(counts, **features)
 
 
-def ecdf(counts: DataFrame) -> DataFrame:
+def ecdf(counts: DataFrame, distinct: dict[str, int] | None = None) -> DataFrame:
     """Running counts of both samples over the distinct values of each numeric feature."""
     numeric = counts.where(F.col("value").isNotNull())
-    return prefix_sums(numeric, "feature", S.NUMERIC_FEATURES, "value", ["n_ref", "n_cur"], lead=True)
+    return prefix_sums(numeric, "feature", S.NUMERIC_FEATURES, "value", ["n_ref", "n_cur"], lead=True, rows=distinct)
 
 
 # --- p-values -----------------------------------------------------------------
@@ -141,52 +144,54 @@ def sample_sizes(counts: DataFrame) -> DataFrame:
             F.sum("n_ref").alias("big_r"),
             F.sum("n_cur").alias("big_c"),
             F.count("*").alias("distinct_all"),
-            F.sum(F.when(F.col("n_ref") > 0, 1).otherwise(0)).alias("distinct_ref"),
+            F.count_if(F.col("n_ref") > 0).alias("distinct_ref"),
             F.try_divide(F.sum(F.col("value") * F.col("n_ref")), F.sum("n_ref")).alias("mean_ref"),
         )
     )
 
 
-def numeric_statistics(counts: DataFrame) -> DataFrame:
+SIZE_KEYS = ["feature", "big_r", "big_c", "distinct_all", "distinct_ref"]
+
+
+def numeric_statistics(counts: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """KS, normalised Wasserstein and share statistics; one row per numeric feature."""
-    running = ecdf(counts).join(F.broadcast(sample_sizes(counts)), "feature")  # one row per feature
+    sizes = _held(counts, sizes)
+    distinct = {r["feature"]: r["distinct_all"] for r in sizes.collect()}  # one row per feature
+    running = ecdf(counts, distinct).join(F.broadcast(sizes), "feature")
     gap = F.abs(F.try_divide("cum_n_ref", "big_r") - F.try_divide("cum_n_cur", "big_c"))
     centred = F.col("value") - F.col("mean_ref")
-    stats = running.groupBy("feature", "big_r", "big_c", "distinct_all", "distinct_ref").agg(
+    spread = F.sqrt(F.try_divide(F.sum(F.col("n_ref") * centred * centred), F.sum("n_ref")))
+    area = F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0))
+    return running.groupBy(*SIZE_KEYS).agg(
+        F.lit(True).alias("is_numeric"),
         F.max(gap).alias("ks_d"),
-        F.sum(gap * (F.col("next_value") - F.col("value"))).alias("distance"),
-        F.sqrt(F.try_divide(F.sum(F.col("n_ref") * centred * centred), F.sum("n_ref"))).alias("std_ref"),
+        (area / F.greatest(spread, F.lit(0.001))).alias("wasserstein"),
         *_share_terms(),
     )
-    return stats.withColumn(
-        "wasserstein", F.coalesce("distance", F.lit(0.0)) / F.greatest("std_ref", F.lit(0.001))
-    ).withColumn("is_numeric", F.lit(True))
 
 
-def categorical_statistics(counts: DataFrame) -> DataFrame:
+def categorical_statistics(counts: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Jensen-Shannon, chi-squared and z statistics; one row per categorical feature."""
-    named = counts.where(F.col("category").isNotNull())
+    nothing = F.lit(None).cast("double")
     return (
-        named.join(F.broadcast(sample_sizes(named)), "feature")
-        .groupBy("feature", "big_r", "big_c", "distinct_all", "distinct_ref")
-        .agg(*_share_terms())
-        .withColumns(
-            {
-                "ks_d": F.lit(None).cast("double"),
-                "std_ref": F.lit(None).cast("double"),
-                "wasserstein": F.lit(None).cast("double"),
-                "is_numeric": F.lit(False),
-            }
-        )
+        counts.where(F.col("category").isNotNull())
+        .join(F.broadcast(_held(counts, sizes)), "feature")  # one row per feature
+        .groupBy(*SIZE_KEYS)
+        .agg(F.lit(False).alias("is_numeric"), nothing.alias("ks_d"), nothing.alias("wasserstein"), *_share_terms())
     )
 
 
+def _held(counts: DataFrame, sizes: DataFrame | None) -> DataFrame:
+    """The sizes as literal rows (one per feature), so that they are computed once."""
+    if sizes is not None:
+        return sizes
+    frame = sample_sizes(counts)
+    return counts.sparkSession.createDataFrame(frame.collect(), frame.schema)
+
+
 def feature_statistics(counts: DataFrame) -> DataFrame:
-    columns = [
-        "feature", "is_numeric", "big_r", "big_c", "distinct_all", "distinct_ref", "ks_d", "std_ref",
-        "wasserstein", "jensen_shannon", "chi_square", "z_square",
-    ]
-    both = numeric_statistics(counts).select(columns).unionByName(categorical_statistics(counts).select(columns))
+    sizes = _held(counts, None)
+    both = numeric_statistics(counts, sizes).union(categorical_statistics(counts, sizes))
     return both.withColumns(
         {
             "ks_p": kolmogorov_p(F.col("ks_d"), F.col("big_r"), F.col("big_c")),
@@ -371,10 +376,10 @@ def drift_trend(reference: DataFrame, readings: DataFrame, bins: int = 10, every
     ref_counts = (
         unpivot_features(reference, categorical=[])
         .where(F.col("value").isNotNull())
-        .groupBy("feature", "category", "value")
+        .groupBy("f", "value")
         .agg(F.count("*").alias("n_ref"))
     )
-    ref_counts = materialise(ref_counts, "reference-counts")
+    ref_counts = materialise(name_features(ref_counts, categorical=[]), "reference-counts")
     ranges = F.broadcast(reference_ranges(ref_counts))  # one row per feature
 
     def binned(frame: DataFrame, n: Column, *keys: Column) -> DataFrame:
@@ -386,6 +391,7 @@ def drift_trend(reference: DataFrame, readings: DataFrame, bins: int = 10, every
         F.sum("n").alias("big_r"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("ref_bins")
     )
     rows = unpivot_features(readings, "timestamp", categorical=[]).where(F.col("value").isNotNull())
+    rows = name_features(rows, categorical=[])
     per_window = binned(rows, F.lit(1), F.window("timestamp", every)["start"].alias("window_start"))
     per_window = per_window.groupBy("window_start", "feature").agg(
         F.sum("n").alias("big_c"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("cur_bins")

@@ -33,6 +33,7 @@ def prefix_sums(
     order: str,
     sums: list[str],
     lead: bool = False,
+    rows: dict | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Running totals of ``sums`` up to and including each row, per ``key``.
@@ -40,23 +41,20 @@ def prefix_sums(
     ``df`` holds one row per (key, order value), so pre-aggregate first, and
     should be cheap to scan again (a materialised table). ``keys`` are the key
     values, a list known from the schema; it bounds the edge and total tables
-    by ``len(keys) * MAX_RANGES`` rows. Adds ``cum_<column>`` and, with
+    by ``len(keys) * MAX_RANGES`` rows. ``rows`` gives the rows per key if they
+    are known already. Adds ``cum_<column>`` and, with
     ``lead``, ``next_<order>``.
     """
     spark = df.sparkSession
-    cuts = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    profile = {
-        row[key]: row
-        for row in df.groupBy(key)
-        .agg(F.count("*").alias("n"), F.percentile_approx(order, cuts, 10 * MAX_RANGES).alias("edges"))
-        .collect()
-        if row[key] in keys
-    }
-    edges = {}
-    for name, row in profile.items():
-        ranges = range_count(row["n"], rows_per_range)
-        step = MAX_RANGES / ranges
-        edges[name] = sorted({row["edges"][round(i * step) - 1] for i in range(1, ranges)}) if row["edges"] else []
+    if rows is None:
+        rows = {r[key]: r["count"] for r in df.groupBy(key).count().collect()}
+    ranges = {name: range_count(n, rows_per_range) for name, n in rows.items() if name in keys}
+    edges = {name: [] for name in ranges}
+    if max(ranges.values(), default=1) > 1:
+        cuts = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
+        for row in df.groupBy(key).agg(F.percentile_approx(order, cuts, 10 * MAX_RANGES).alias("edges")).collect():
+            step = MAX_RANGES / ranges[row[key]]
+            edges[row[key]] = sorted({row["edges"][round(i * step) - 1] for i in range(1, ranges[row[key]])})
 
     def accumulate(frame: DataFrame, *partition: str) -> DataFrame:
         window = Window.partitionBy(*partition).orderBy(order)

@@ -13,7 +13,7 @@ from toolpulse.functions.labels import failure_conditions, failure_rate, gated_f
 from toolpulse.functions.text import product_id
 from toolpulse.operators.ranking import prefix_sums
 from toolpulse.sources.durable import materialise, shared_path
-from toolpulse.sources.readers import training_table
+from toolpulse.sources.readers import readings_log, training_table
 
 # Multiplier and offset of the four hash-like streams.
 STREAMS = {"a": (7919, 104729), "b": (15487, 32452843), "c": (49979, 67867967), "d": (86028, 15485863)}
@@ -57,12 +57,6 @@ def baseline_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"))
 
 
-def baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reference rows without ids: a projection of the scan, no shuffle."""
-    keyed = baseline_keys(spark, sf_dir)
-    return _with_failures(keyed.select("k", *[c.alias(n) for n, c in sensors(F.col("k")).items()])).drop("k")
-
-
 def _numbered_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``udi, k``: row numbers in key order. Rows with equal keys are equal rows,
     so keys are counted first, and a key with many rows is unfolded in chunks
@@ -229,14 +223,18 @@ def readings_from_events(events: DataFrame, n_readings: Column) -> DataFrame:
     return df.select(*S.READINGS_COLUMNS)
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = source(spark, sf_dir, "events")
-    return readings_from_events(events, events.agg(F.count("*")).scalar())
-
-
 def readings_path(spark: SparkSession, sf_dir: str) -> str:
     """The readings log at rest, written once per session."""
-    return shared_path(spark, f"readings:{sf_dir}", lambda path: readings(spark, sf_dir).write.parquet(path))
+
+    def write(path: str) -> None:
+        events = source(spark, sf_dir, "events")
+        readings_from_events(events, events.agg(F.count("*")).scalar()).write.parquet(path)
+
+    return shared_path(spark, f"readings:{sf_dir}", write)
+
+
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readings_log(spark, readings_path(spark, sf_dir))
 
 
 def stable_readings(spark: SparkSession, sf_dir: str) -> DataFrame:

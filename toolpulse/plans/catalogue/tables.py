@@ -61,7 +61,7 @@ def log_row(log):
 
 @query("s5_readings_since", Q.with_readings(f"""{LOG_SQL} WHERE "timestamp" > TIMESTAMP '{SINCE}' ORDER BY id"""))
 def s5(spark, sf):
-    log = readers.readings_log(spark, A.readings_path(spark, sf))
+    log = A.readings(spark, sf)
     return log_row(readers.readings_since(log, SINCE).orderBy("id"))
 
 
@@ -72,7 +72,7 @@ def s5(spark, sf):
     ),
 )
 def s6(spark, sf):
-    return readers.current_features(readers.readings_log(spark, A.readings_path(spark, sf)))
+    return readers.current_features(A.readings(spark, sf))
 
 
 @query("s7_create_readings_log", Q.with_readings("SELECT machine_id, count(*) AS readings FROM readings GROUP BY 1"))
@@ -134,14 +134,14 @@ def s11(spark, sf):
     store = export.TrainingStore(spark, new_path(spark, "training"))
     store.seed(A.training(spark, sf))
     start = export.next_udi(store.rows()).first()["next_udi"]
-    store.append(export.build_export(readers.readings_log(spark, A.readings_path(spark, sf)), start))
+    store.append(export.build_export(A.readings(spark, sf), start))
     return store.training()
 
 
 def _fresh_space(spark, sf) -> jobs.Workspace:
     """A workspace whose log holds all readings and whose training table is the baseline."""
     space = jobs.Workspace(spark, new_path(spark, "space"))
-    writers.append_readings(readers.readings_log(spark, A.readings_path(spark, sf)), space.readings.path)
+    writers.append_readings(A.readings(spark, sf), space.readings.path)
     space.training.seed(A.training(spark, sf))
     return space
 
@@ -232,7 +232,7 @@ def s17(spark, sf):
 
 @query("a1_row_count", Q.with_readings("SELECT count(*) AS row_count, count(*) > 0 AS has_data FROM readings"))
 def a1(spark, sf):
-    log = readers.readings_log(spark, A.readings_path(spark, sf))
+    log = A.readings(spark, sf)
     return log.agg(F.count("*").alias("row_count")).withColumn("has_data", F.col("row_count") > 0)
 
 
@@ -270,7 +270,7 @@ def a3(spark, sf):
 def a4(spark, sf):
     training = A.training(spark, sf)
     start = export.next_udi(training).first()["next_udi"]
-    exported = export.build_export(readers.readings_log(spark, A.readings_path(spark, sf)), start)
+    exported = export.build_export(A.readings(spark, sf), start)
     summary = export.export_summary(exported, F.lit(0))
     shares = {f"{f}_share": F.round(f"{f}_share", 6) for f in ("hdf", "pwf", "osf", "twf")}
     return summary.withColumns(shares).drop("failure_rate", "total_after")
@@ -282,7 +282,7 @@ def a4(spark, sf):
 def exported_before(spark, sf):
     """Ids a former export took: all readings of the first 20 days with an even number."""
     early = F.col("timestamp") <= F.lit("2024-01-20 00:00:00").cast("timestamp")
-    return readers.readings_log(spark, A.readings_path(spark, sf)).where(early & (F.col("id") % 2 == 0)).select("id")
+    return A.readings(spark, sf).where(early & (F.col("id") % 2 == 0)).select("id")
 
 
 BEFORE_SQL = """before AS (SELECT id FROM readings WHERE "timestamp" <= TIMESTAMP '2024-01-20 00:00:00' AND id % 2 = 0)"""
@@ -301,13 +301,13 @@ def j3(spark, sf):
     Q.with_readings("SELECT id, machine_id, torque_nm FROM readings WHERE id NOT IN (SELECT id FROM before)", BEFORE_SQL),
 )
 def j4(spark, sf):
-    log = readers.readings_log(spark, A.readings_path(spark, sf))
+    log = A.readings(spark, sf)
     return export.not_exported(log, exported_before(spark, sf)).select("id", "machine_id", "torque_nm")
 
 
 @query("j4_already_exported", Q.with_readings("SELECT id FROM readings SEMI JOIN before USING (id)", BEFORE_SQL))
 def j4_semi(spark, sf):
-    log = readers.readings_log(spark, A.readings_path(spark, sf))
+    log = A.readings(spark, sf)
     return export.already_exported(log, exported_before(spark, sf)).select("id")
 
 
@@ -329,7 +329,7 @@ def j5(spark, sf):
 
 @query("w1_order_by_id", Q.with_readings("SELECT id, machine_id FROM readings ORDER BY id"))
 def w1(spark, sf):
-    return readers.readings_log(spark, A.readings_path(spark, sf)).orderBy("id").select("id", "machine_id")
+    return A.readings(spark, sf).orderBy("id").select("id", "machine_id")
 
 
 @query(
@@ -340,7 +340,7 @@ def w1(spark, sf):
     ),
 )
 def w2(spark, sf):
-    return readers.current_sample(readers.readings_log(spark, A.readings_path(spark, sf)), SINCE)
+    return readers.current_sample(A.readings(spark, sf), SINCE)
 
 
 @query("w3_training_window", Q.with_training(f"SELECT {CLEAN} FROM training ORDER BY udi DESC LIMIT 50000"))
@@ -350,7 +350,7 @@ def w3(spark, sf):
 
 @query("w4_consecutive_udi", Q.with_readings("SELECT id, 70000 + row_number() OVER (ORDER BY id) AS udi FROM readings WHERE injected_failure = 1"))
 def w4(spark, sf):
-    log = readers.readings_log(spark, A.readings_path(spark, sf)).where("injected_failure = 1").select("id")
+    log = A.readings(spark, sf).where("injected_failure = 1").select("id")
     return row_numbers(log, "id", "udi", start=70001)
 
 
@@ -359,7 +359,7 @@ def w4(spark, sf):
     Q.with_readings("SELECT mode, id, row_number() OVER (PARTITION BY mode ORDER BY id) AS counter FROM readings"),
 )
 def w5(spark, sf):
-    log = readers.readings_log(spark, A.readings_path(spark, sf)).select("mode", "id")
+    log = A.readings(spark, sf).select("mode", "id")
     return row_numbers(log, "id", "counter", by="mode")
 
 
@@ -410,7 +410,7 @@ query("w9_calibration_folds", Q.with_training(_folds_sql(3), LABELLED, SPLIT))(_
     ),
 )
 def w11(spark, sf):
-    return lifecycle.tool_cycles(readers.readings_log(spark, A.readings_path(spark, sf)))
+    return lifecycle.tool_cycles(A.readings(spark, sf))
 
 
 # --- set operations -----------------------------------------------------------------------

@@ -33,6 +33,7 @@ NUMERIC_FEATURES = [
     "mechanical_stress",
 ]
 CATEGORICAL_FEATURES = ["type"]
+MEASURED = CATEGORICAL_FEATURES + NUMERIC_FEATURES[:5]
 FEATURES = CATEGORICAL_FEATURES + NUMERIC_FEATURES
 MACHINE_TYPES = ["H", "L", "M"]
 

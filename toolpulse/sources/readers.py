@@ -1,5 +1,8 @@
 """Scans with explicit schemas. Column pruning and filter pushdown are left to Spark."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +32,12 @@ def baseline_csv_columns(spark: SparkSession, path: str, columns: list[str]) ->
 
 def reference_features(baseline: DataFrame) -> DataFrame:
     """Feature columns of the reference, rows with any null left out."""
-    return engineer_features(baseline).select(*S.FEATURES).na.drop("any")
+    return engineer_features(complete_rows(to_clean_names(baseline), S.MEASURED)).select(*S.FEATURES)
+
+
+def complete_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows without a null in ``columns``; one test per column, so the file scan can use them."""
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
 
 
 def readings_log(spark: SparkSession, path: str) -> DataFrame:
@@ -64,7 +72,7 @@ def current_sample(
     rows = readings_since(readings, since)
     if limit is not None:
         rows = rows.orderBy(F.desc("timestamp"), F.desc("id")).limit(limit)
-    return current_features(rows).na.drop("any")
+    return complete_rows(current_features(rows), S.FEATURES)
 
 
 def parse_requests(requests: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
