@@ -127,7 +127,8 @@ class ReadingsStore:
         return writers.current_snapshot(self.spark, self.pointers, self.path)
 
     def rows(self) -> DataFrame:
-        return readers.readings_log(self.spark, self.current_path())
+        log = self.spark.read.schema(S.READINGS_SCHEMA).option("recursiveFileLookup", True)
+        return log.parquet(self.current_path())
 
     def purge(self, exported_ids: DataFrame) -> int:
         """Drop exactly the given ids; returns how many rows went."""

@@ -27,4 +27,12 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from toolpulse.plans.catalogue import columns, drift, registry, scores, tables  # noqa: F401
+    from toolpulse.plans.catalogue import (  # noqa: F401
+        columns,
+        drift,
+        models,
+        registry,
+        scores,
+        streams,
+        tables,
+    )

@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from toolpulse import schemas as S
 from toolpulse.operators.drift import drift_report
 from toolpulse.operators.export import ReadingsStore, TrainingStore, export_readings
+from toolpulse.operators.experiments import Experiment
+from toolpulse.operators.models import register_model, train_model, tune_model
+from toolpulse.operators.registry import Registry
 from toolpulse.sources import writers
-from toolpulse.sources.readers import current_sample
+from toolpulse.sources.readers import current_sample, training_window
 
 
 @dataclass
@@ -83,3 +86,28 @@ def check_drift(
         result.retrain = True
     writers.append_check_log(spark, space.check_log, drifted, drifted)
     return result
+
+
+def retrain(
+    space: Workspace,
+    experiment: Experiment,
+    preset: str = "full",
+    window: int | None = S.TRAINING_WINDOW,
+    min_f1: float | None = None,
+    tune_trials: int = 0,
+    limits: dict | None = None,
+):
+    """Train on the newest rows, register the version and promote it if both gates pass.
+
+    With ``tune_trials`` the parameters are searched first. Returns the
+    promotion decision row.
+    """
+    rows = training_window(space.training.training(), window)
+    registry = Registry(space.spark, space.registry_root)
+    overrides, extra = None, {}
+    if tune_trials:
+        overrides, _ = tune_model(rows, experiment, tune_trials, preset, limits=limits)
+        extra = {"tuned": True, "trials": tune_trials}
+    result = train_model(rows, experiment, preset, overrides)
+    register_model(registry, experiment, result, extra)
+    return registry.promote(experiment.model_name, min_f1, auto=True)
