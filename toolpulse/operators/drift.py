@@ -153,11 +153,10 @@ def sample_sizes(counts: DataFrame) -> DataFrame:
 SIZE_KEYS = ["feature", "big_r", "big_c", "distinct_all", "distinct_ref"]
 
 
-def numeric_statistics(counts: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+def numeric_statistics(counts: DataFrame, sizes: tuple | None = None) -> DataFrame:
     """KS, normalised Wasserstein and share statistics; one row per numeric feature."""
-    sizes = _held(counts, sizes)
-    distinct = {r["feature"]: r["distinct_all"] for r in sizes.collect()}  # one row per feature
-    running = ecdf(counts, distinct).join(F.broadcast(sizes), "feature")
+    sizes, rows = sizes or held_sizes(counts)
+    running = ecdf(counts, rows).join(F.broadcast(sizes), "feature")
     gap = F.abs(F.try_divide("cum_n_ref", "big_r") - F.try_divide("cum_n_cur", "big_c"))
     centred = F.col("value") - F.col("mean_ref")
     spread = F.sqrt(F.try_divide(F.sum(F.col("n_ref") * centred * centred), F.sum("n_ref")))
@@ -170,27 +169,26 @@ def numeric_statistics(counts: DataFrame, sizes: DataFrame | None = None) -> Dat
     )
 
 
-def categorical_statistics(counts: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+def categorical_statistics(counts: DataFrame, sizes: tuple | None = None) -> DataFrame:
     """Jensen-Shannon, chi-squared and z statistics; one row per categorical feature."""
     nothing = F.lit(None).cast("double")
     return (
         counts.where(F.col("category").isNotNull())
-        .join(F.broadcast(_held(counts, sizes)), "feature")  # one row per feature
+        .join(F.broadcast((sizes or held_sizes(counts))[0]), "feature")
         .groupBy(*SIZE_KEYS)
         .agg(F.lit(False).alias("is_numeric"), nothing.alias("ks_d"), nothing.alias("wasserstein"), *_share_terms())
     )
 
 
-def _held(counts: DataFrame, sizes: DataFrame | None) -> DataFrame:
-    """The sizes as literal rows (one per feature), so that they are computed once."""
-    if sizes is not None:
-        return sizes
+def held_sizes(counts: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """The sizes, computed once and held as literal rows (one per feature), and the distinct values."""
     frame = sample_sizes(counts)
-    return counts.sparkSession.createDataFrame(frame.collect(), frame.schema)
+    rows = frame.collect()
+    return counts.sparkSession.createDataFrame(rows, frame.schema), {r["feature"]: r["distinct_all"] for r in rows}
 
 
 def feature_statistics(counts: DataFrame) -> DataFrame:
-    sizes = _held(counts, None)
+    sizes = held_sizes(counts)
     both = numeric_statistics(counts, sizes).union(categorical_statistics(counts, sizes))
     return both.withColumns(
         {

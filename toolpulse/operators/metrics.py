@@ -110,9 +110,10 @@ def brier_binary(label: Column, probability: Column) -> Column:
 
 def brier_multiclass(class_index: Column, shares: Column) -> Column:
     """Half the mean squared distance between the class indicator and the probabilities."""
-    one_hot = F.transform(shares, lambda _, i: F.when(i == class_index, F.lit(1.0)).otherwise(F.lit(0.0)))
-    miss = F.zip_with(shares, one_hot, lambda p, y: (p - y) * (p - y))
-    return F.avg(F.aggregate(miss, F.lit(0.0), lambda total, m: total + m)) / 2
+    # sum((p - y)^2) with y = 1 at the true class only
+    squares = F.aggregate(shares, F.lit(0.0), lambda total, p: total + p * p)
+    hit = F.element_at(shares, (class_index + 1).cast("int"))
+    return F.avg(squares - F.lit(2.0) * hit + F.lit(1.0)) / 2
 
 
 def overfit(split_scores: DataFrame) -> DataFrame:

@@ -148,22 +148,18 @@ def hash_cuts(df: DataFrame, group: str, digest: str, wanted) -> dict[object, li
                 targets.append((value, slot) + _locate(sizes, "", rank))
     while any(size > ROWS_PER_RANGE for *_, size in targets):
         width += step
-        counts = _prefix_counts(df.where(_has_prefix(group, digest, targets)), group, digest, width)
+        counts = _prefix_counts(_in_targets(df, group, digest, targets), group, digest, width)
         targets = [
             (value, slot) + _locate(counts[value], prefix, rank) for value, slot, prefix, rank, _ in targets
         ]
     if not targets:
         return cuts
     window = Window.partitionBy(group, "__prefix").orderBy(digest)
-    ranked = (
-        df.where(_has_prefix(group, digest, targets))
-        .select(group, digest, F.substring(digest, 1, width).alias("__prefix"))
-        .withColumn("__rank", F.row_number().over(window))
-    )
-    pick = F.lit(False)
-    for value, _, prefix, rank, _ in targets:
-        pick = pick | ((F.col(group) == value) & (F.col("__prefix") == prefix) & (F.col("__rank") == rank))
-    found = {(r[group], r["__prefix"], r["__rank"]): r[digest] for r in ranked.where(pick).collect()}
+    ranked = _in_targets(df, group, digest, targets).withColumn("__rank", F.row_number().over(window))
+    ranks = sorted({t[3] for t in targets})
+    found = {
+        (r[group], r["__prefix"], r["__rank"]): r[digest] for r in ranked.where(F.col("__rank").isin(ranks)).collect()
+    }
     for value, slot, prefix, rank, _ in targets:
         cuts[value][slot] = found[(value, prefix, rank)]
     return cuts
@@ -185,8 +181,11 @@ def _locate(sizes: dict[str, int], within: str, rank: int) -> tuple[str, int, in
     raise ValueError("rank beyond the group")
 
 
-def _has_prefix(group: str, digest: str, targets: list) -> Column:
-    hit = F.lit(False)
-    for value, prefix in sorted({(t[0], t[2]) for t in targets}, key=str):
-        hit = hit | ((F.col(group) == value) & F.col(digest).startswith(prefix))
-    return hit
+def _in_targets(df: DataFrame, group: str, digest: str, targets: list) -> DataFrame:
+    """Rows under the target prefixes; a join with one small row per prefix computes each digest once."""
+    wanted = sorted({(t[0], t[2]) for t in targets}, key=str)
+    width = len(wanted[0][1])
+    kind = df.schema[group].dataType.simpleString()
+    table = df.sparkSession.createDataFrame(wanted, f"`{group}` {kind}, __prefix string")
+    prefixed = df.select(group, digest, F.substring(digest, 1, width).alias("__prefix"))
+    return prefixed.join(F.broadcast(table), [group, "__prefix"])

@@ -16,18 +16,16 @@ def split_digest(key: str, seed: int = S.SPLIT_SEED) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
-def _below_count(cuts: dict, group: str, digest: Column) -> Column:
-    """How many of its class's cut digests a row lies beyond."""
-    chain = F
+def _beyond(cuts: dict, group: str, digest: str) -> Column:
+    """How many of its class's cut digests a row lies beyond; null for an unknown class."""
+    entries = []
     for value, points in cuts.items():
-        beyond = F.lit(0)
-        for point in points:
-            if point is not None:
-                beyond = beyond + F.when(digest > point, 1).otherwise(0)
-            else:
-                beyond = beyond + 1
-        chain = chain.when(F.col(group) == value, beyond)
-    return chain.otherwise(F.lit(None).cast("int")) if cuts else F.lit(None).cast("int")
+        # A cut before the first row is below every digest.
+        entries += [F.lit(value), F.array(*[F.lit(point or "") for point in points])]
+    if not entries:
+        return F.lit(None).cast("int")
+    own = F.try_element_at(F.create_map(*entries), F.col(group))
+    return F.size(F.filter(own, lambda point: point < F.col(digest)))
 
 
 def test_rows(n: int, test_size: float) -> int:
@@ -41,7 +39,7 @@ def with_test_flag(
     """Adds ``is_test``: the first ``test_size`` of each class in hash order."""
     keyed = df.withColumn("__digest", split_digest(key, seed))
     cuts = hash_cuts(keyed, label, "__digest", lambda n: [test_rows(n, test_size)])
-    return keyed.withColumn("is_test", _below_count(cuts, label, F.col("__digest")) == 0).drop("__digest")
+    return keyed.withColumn("is_test", _beyond(cuts, label, "__digest") == 0).drop("__digest")
 
 
 def with_folds(
@@ -59,4 +57,4 @@ def with_folds(
 
     keyed = df.withColumn("__digest", split_digest(key, seed))
     cuts = hash_cuts(keyed, label, "__digest", fold_ends)
-    return keyed.withColumn(name, _below_count(cuts, label, F.col("__digest"))).drop("__digest")
+    return keyed.withColumn(name, _beyond(cuts, label, "__digest")).drop("__digest")

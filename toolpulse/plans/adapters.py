@@ -4,6 +4,8 @@ The formulas give the same values in Spark and in SQL engines with 64-bit
 integers and IEEE doubles, so every query can be checked against plain SQL.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +22,18 @@ STREAMS = {"a": (7919, 104729), "b": (15487, 32452843), "c": (49979, 67867967),
 STREAM_MODULUS = 1000003
 READING_KEY_OFFSET = 500000000
 EXPAND_CHUNK = 4096
+ROWS_PER_FILE = 4_000_000
 
 
 def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def file_count(spark: SparkSession, rows: int) -> int:
+    """Files of at most a few million rows, and work for every core."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_FILE))
+
+
 def sensors(k: Column) -> dict[str, Column]:
     s = {name: (k * mul + add) % STREAM_MODULUS for name, (mul, add) in STREAMS.items()}
     air = F.lit(2953) + s["b"] % 93
@@ -82,8 +90,12 @@ def training_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         keyed = _numbered_keys(spark, sf_dir)
         rows = _with_failures(keyed.select("udi", "k", *[c.alias(n) for n, c in sensors(F.col("k")).items()]))
-        rows = rows.withColumn("product_id", product_id(F.col("type"), F.col("udi")))
-        to_raw_names(rows.select(*S.TRAINING_COLUMNS)).write.parquet(path)
+        rows = rows.withColumn("product_id", product_id(F.col("type"), F.col("udi"))).select(*S.TRAINING_COLUMNS)
+        total = source(spark, sf_dir, "lineitem").count()
+        files = file_count(spark, total)
+        # Ids run from 1 to total, so the file of a row follows from its id; no sampling pass.
+        file_of = F.floor((F.col("udi") - 1) * files / total).cast("int")
+        to_raw_names(rows.repartitionById(files, file_of)).write.parquet(path)
 
     return shared_path(spark, f"training:{sf_dir}", write)
 
@@ -134,8 +146,8 @@ def rule_type(type_col: str = "type") -> Column:
     return chain.otherwise(F.lit("none"))
 
 
-def rule_class_shares(type_col: str = "type") -> Column:
-    """Class probabilities in class order from the same rule."""
+def with_rule_shares(df: DataFrame, type_col: str = "type") -> DataFrame:
+    """Adds ``shares``: class probabilities in class order from the same rule."""
     c = rule_conditions(type_col)
     weight = {
         "hdf": F.lit(1) + c["hdf"] * 40,
@@ -144,9 +156,10 @@ def rule_class_shares(type_col: str = "type") -> Column:
         "pwf": F.lit(1) + c["pwf"] * 45,
         "twf": F.lit(1) + c["twf"] * 25,
     }
-    weights = [weight[name].cast("double") for name in S.FAILURE_CLASSES]
-    total = weights[0] + weights[1] + weights[2] + weights[3] + weights[4]
-    return F.array(*[w / total for w in weights])
+    names = [f"__w_{name}" for name in S.FAILURE_CLASSES]
+    df = df.withColumns({n: weight[c].cast("double") for n, c in zip(names, S.FAILURE_CLASSES)})
+    df = df.withColumn("__total", sum((F.col(n) for n in names[1:]), F.col(names[0])))
+    return df.withColumn("shares", F.array(*[F.col(n) / F.col("__total") for n in names])).drop("__total", *names)
 
 
 def scored_training(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +241,9 @@ def readings_path(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         events = source(spark, sf_dir, "events")
-        readings_from_events(events, events.agg(F.count("*")).scalar()).write.parquet(path)
+        total = events.count()
+        rows = readings_from_events(events.repartitionByRange(file_count(spark, total), "ts"), F.lit(total))
+        rows.write.parquet(path)
 
     return shared_path(spark, f"readings:{sf_dir}", write)
 

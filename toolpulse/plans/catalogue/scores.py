@@ -141,11 +141,10 @@ SHARES_SQL = """shares AS (SELECT failure_type, [w1 / t, w2 / t, w3 / t, w4 / t,
     ),
 )
 def a12(spark, sf):
-    scored = A.scored_training(spark, sf)
-    shares = A.rule_class_shares()
+    scored = A.with_rule_shares(A.scored_training(spark, sf))
     return scored.agg(
         F.round(M.brier_binary(F.col("machine_failure"), F.col("probability")), 6).alias("brier_binary"),
-        F.round(M.brier_multiclass(label_to_index(F.col("failure_type")), shares), 6).alias("brier_multiclass"),
+        F.round(M.brier_multiclass(label_to_index(F.col("failure_type")), F.col("shares")), 6).alias("brier_multiclass"),
     )
 
 
