@@ -139,14 +139,14 @@ def test_statistics_with_many_ranges(spark, monkeypatch):
     [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (9.487729, 4, 0.05), (11.0705, 5, 0.05), (0.0, 3, 1.0), (100.0, 7, 0.0)],
 )
 def test_chi_square_tail(spark, x, df, p):
-    row = spark.range(1).select(D.chi_square_p(F.lit(x), F.lit(df)).alias("p")).first()
+    row = spark.range(1).select(D.chi_square_p(f"{x}D", str(df)).alias("p")).first()
     assert row["p"] == pytest.approx(p, abs=1e-6)
 
 
 @pytest.mark.parametrize("scaled, p", [(0.1, 1.0), (0.5, 0.963945), (1.0, 0.270000), (1.3581, 0.05), (3.0, 3.046e-8)])
 def test_kolmogorov_tail(spark, scaled, p):
-    n = 2.0  # n * n / (n + n) = 1
-    row = spark.range(1).select(D.kolmogorov_p(F.lit(scaled), F.lit(n), F.lit(n)).alias("p")).first()
+    # n * n / (n + n) = 1 for n = 2
+    row = spark.range(1).select(D.kolmogorov_p(f"{scaled}D", "2", "2").alias("p")).first()
     assert row["p"] == pytest.approx(p, abs=1e-5)
 
 

@@ -56,81 +56,69 @@ def ecdf(counts: DataFrame, distinct: dict[str, int] | None = None) -> DataFrame
 # --- p-values -----------------------------------------------------------------
 
 
-def kolmogorov_p(d: Column, n_ref: Column, n_cur: Column) -> Column:
-    """Two-sample KS p-value from the limiting distribution (100 terms)."""
-    scaled = d * F.sqrt(F.try_divide(n_ref * n_cur, n_ref + n_cur))
-
-    def term(acc: Column, k: Column) -> Column:
-        sign = F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
-        return acc + sign * F.exp(F.lit(-2.0) * k * k * scaled * scaled)
-
-    tail = F.lit(2.0) * F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0), term)
-    # Below 0.2 the distribution is 1 to twelve digits and the series is slow.
-    return F.when(scaled < 0.2, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), tail)))
-
-
-def _erfc(z: Column) -> Column:
-    def step(acc: Column, n: Column) -> Column:
-        term = acc["term"] * F.lit(2.0) * z * z / (F.lit(2.0) * n + F.lit(1.0))
-        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
-
-    start = F.struct(z.alias("term"), z.alias("total"))
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(250)), start, step)["total"]
-    erf = F.lit(2.0 / math.sqrt(math.pi)) * F.exp(-z * z) * series
-    return F.when(z > 7, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - erf))
-
-
-def chi_square_p(statistic: Column, df: Column) -> Column:
-    """Upper tail of the chi-squared distribution for whole degrees of freedom."""
-    # Far out the tail is zero in double precision; the cap keeps powers finite.
-    half = F.least(statistic, F.lit(1400.0)) / F.lit(2.0)
-
-    def even_step(acc: Column, i: Column) -> Column:
-        term = acc["term"] * half / i
-        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
-
-    def odd_step(acc: Column, i: Column) -> Column:
-        term = acc["term"] * half / (i + F.lit(0.5))
-        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
-
-    one = F.lit(1.0)
-    pairs = F.floor(df / F.lit(2)).cast("int")
-    even_sum = F.aggregate(
-        F.filter(F.sequence(F.lit(0), pairs), lambda i: (i >= 1) & (i < pairs)),
-        F.struct(one.alias("term"), one.alias("total")),
-        even_step,
-    )["total"]
-    first = F.sqrt(half) * F.lit(2.0 / math.sqrt(math.pi))
-    odd_sum = F.aggregate(
-        F.filter(F.sequence(F.lit(0), pairs), lambda i: (i >= 1) & (i < pairs)),
-        F.struct(first.alias("term"), first.alias("total")),
-        odd_step,
-    )["total"]
-    odd = _erfc(F.sqrt(half)) + F.when(pairs >= 1, F.exp(-half) * odd_sum).otherwise(F.lit(0.0))
-    tail = F.when(df % 2 == 0, F.exp(-half) * even_sum).otherwise(odd)
-    return F.when(df < 1, one).when(statistic > 1400, F.lit(0.0)).otherwise(F.least(one, tail))
+# These take and combine SQL text: one parsed expression is far cheaper to build
+# than hundreds of Column calls. A one-element transform() names a value once.
+
+
+def kolmogorov_p(d: str, n_ref: str, n_cur: str) -> Column:
+    """Two-sample KS p-value from the limiting distribution (100 terms).
+
+    Below 0.2 the distribution is 1 to twelve digits and the series is slow.
+    """
+    scaled = f"({d}) * sqrt(try_divide(({n_ref}) * ({n_cur}), ({n_ref}) + ({n_cur})))"
+    term = "if(k % 2 = 1, 1D, -1D) * exp(-2D * k * k * x * x)"
+    series = f"2D * aggregate(sequence(1, 100), 0D, (total, k) -> total + {term})"
+    return F.expr(
+        f"""transform(array({scaled}), x -> CASE WHEN x IS NULL THEN NULL WHEN x < 0.2 THEN 1D
+        ELSE least(1D, greatest(0D, {series})) END)[0]"""
+    )
+
+
+def _running_product(start: str, factor: str, terms: str) -> str:
+    """SQL for start + start*f(1) + start*f(1)*f(2) + ... over the indices in ``terms``."""
+    step = f"a.term * ({factor})"
+    return f"""aggregate({terms}, named_struct('term', {start}, 'total', {start}),
+        (a, i) -> named_struct('term', {step}, 'total', a.total + {step}), a -> a.total)"""
+
+
+def chi_square_p(statistic: str, df: str) -> Column:
+    """Upper tail of the chi-squared distribution for whole degrees of freedom.
+
+    Closed forms: a finite sum for an even number, erfc plus a finite sum for
+    an odd one. Far out the tail is zero in double precision.
+    """
+    root_pi = repr(2.0 / math.sqrt(math.pi)) + "D"
+    below = "filter(sequence(0, int(s.k div 2)), i -> i >= 1 AND i < s.k div 2)"
+    even = _running_product("1D", "s.h / i", below)
+    odd = _running_product(f"{root_pi} * sqrt(s.h)", "s.h / (i + 0.5D)", below)
+    erf = _running_product("sqrt(s.h)", "2D * s.h / (2D * i + 1D)", "sequence(1, 250)")
+    erfc = f"if(s.h > 49, 0D, greatest(0D, 1D - {root_pi} * exp(-s.h) * {erf}))"
+    return F.expr(
+        f"""transform(array(named_struct('h', least({statistic}, 1400D) / 2D, 'k', {df}, 'x', {statistic})),
+        s -> CASE WHEN s.k < 1 THEN 1D WHEN s.x > 1400 THEN 0D
+          WHEN s.k % 2 = 0 THEN least(1D, exp(-s.h) * {even})
+          WHEN s.k = 1 THEN {erfc}
+          ELSE least(1D, {erfc} + exp(-s.h) * {odd}) END)[0]"""
+    )
 
 
 # --- statistics per feature ---------------------------------------------------
 
 
 def _share_terms() -> list[Column]:
-    """Aggregates that work on category counts; ``big_r`` and ``big_c`` are the sample sizes."""
-    p = F.try_divide("n_ref", "big_r")
-    q = F.try_divide("n_cur", "big_c")
-    m = (p + q) / F.lit(2.0)
-    kl = F.when(F.col("n_ref") > 0, p * F.ln(p / m)).otherwise(0.0) + F.when(
-        F.col("n_cur") > 0, q * F.ln(q / m)
-    ).otherwise(0.0)
-    expected = p * F.col("big_c")
-    chi = F.when(expected > 0, (F.col("n_cur") - expected) * (F.col("n_cur") - expected) / F.nullif(expected, F.lit(0.0)))
-    chi = F.coalesce(chi, F.when(F.col("n_cur") > 0, F.lit(float("inf"))), F.lit(0.0))
-    pooled = F.try_divide(F.col("n_ref") + F.col("n_cur"), F.col("big_r") + F.col("big_c"))
-    spread = pooled * (F.lit(1.0) - pooled) * (F.try_divide(F.lit(1.0), "big_r") + F.try_divide(F.lit(1.0), "big_c"))
+    """Aggregates that work on counts per value; ``big_r`` and ``big_c`` are the sample sizes."""
+    p, q = "try_divide(n_ref, big_r)", "try_divide(n_cur, big_c)"
+    middle = f"(({p} + {q}) / 2D)"
+    divergence = f"if(n_ref > 0, {p} * ln({p} / {middle}), 0D) + if(n_cur > 0, {q} * ln({q} / {middle}), 0D)"
+    expected = f"({p} * big_c)"
+    miss = f"""CASE WHEN {expected} > 0 THEN (n_cur - {expected}) * (n_cur - {expected}) / {expected}
+        WHEN n_cur > 0 THEN double('Infinity') ELSE 0D END"""
+    pooled = "try_divide(n_ref + n_cur, big_r + big_c)"
+    spread = f"({pooled} * (1D - {pooled}) * (try_divide(1D, big_r) + try_divide(1D, big_c)))"
     return [
-        F.sqrt(F.greatest(F.lit(0.0), F.sum(kl) / F.lit(2.0))).alias("jensen_shannon"),
-        F.sum(chi).alias("chi_square"),
-        F.max(F.try_divide((p - q) * (p - q), spread)).alias("z_square"),
+        F.expr(f"sqrt(greatest(0D, sum({divergence}) / 2D))").alias("jensen_shannon"),
+        F.expr(f"sum({miss})").alias("chi_square"),
+        F.expr(f"max(try_divide(({p} - {q}) * ({p} - {q}), {spread}))").alias("z_square"),
     ]
 
 
@@ -157,14 +145,13 @@ def numeric_statistics(counts: DataFrame, sizes: tuple | None = None) -> DataFra
     """KS, normalised Wasserstein and share statistics; one row per numeric feature."""
     sizes, rows = sizes or held_sizes(counts)
     running = ecdf(counts, rows).join(F.broadcast(sizes), "feature")
-    gap = F.abs(F.try_divide("cum_n_ref", "big_r") - F.try_divide("cum_n_cur", "big_c"))
-    centred = F.col("value") - F.col("mean_ref")
-    spread = F.sqrt(F.try_divide(F.sum(F.col("n_ref") * centred * centred), F.sum("n_ref")))
-    area = F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0))
+    gap = "abs(try_divide(cum_n_ref, big_r) - try_divide(cum_n_cur, big_c))"
+    area = f"coalesce(sum({gap} * (next_value - value)), 0D)"
+    spread = "sqrt(try_divide(sum(n_ref * (value - mean_ref) * (value - mean_ref)), sum(n_ref)))"
     return running.groupBy(*SIZE_KEYS).agg(
         F.lit(True).alias("is_numeric"),
-        F.max(gap).alias("ks_d"),
-        (area / F.greatest(spread, F.lit(0.001))).alias("wasserstein"),
+        F.expr(f"max({gap})").alias("ks_d"),
+        F.expr(f"{area} / greatest({spread}, 0.001D)").alias("wasserstein"),
         *_share_terms(),
     )
 
@@ -192,9 +179,9 @@ def feature_statistics(counts: DataFrame) -> DataFrame:
     both = numeric_statistics(counts, sizes).union(categorical_statistics(counts, sizes))
     return both.withColumns(
         {
-            "ks_p": kolmogorov_p(F.col("ks_d"), F.col("big_r"), F.col("big_c")),
-            "chi_square_p": chi_square_p(F.col("chi_square"), F.col("distinct_all") - 1),
-            "z_p": chi_square_p(F.coalesce("z_square", F.lit(0.0)), F.lit(1)),
+            "ks_p": kolmogorov_p("ks_d", "big_r", "big_c"),
+            "chi_square_p": chi_square_p("chi_square", "distinct_all - 1"),
+            "z_p": chi_square_p("coalesce(z_square, 0D)", "1"),
         }
     )
 

@@ -34,19 +34,17 @@ def file_count(spark: SparkSession, rows: int) -> int:
     return max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_FILE))
 
 
-def sensors(k: Column) -> dict[str, Column]:
-    s = {name: (k * mul + add) % STREAM_MODULUS for name, (mul, add) in STREAMS.items()}
-    air = F.lit(2953) + s["b"] % 93
-    torque = F.lit(140) + s["a"] % 131 + s["b"] % 131 + s["c"] % 131 + s["d"] % 131
-    kind = s["a"] % 10
-    return {
-        "type": F.when(kind < 6, "L").when(kind < 9, "M").otherwise("H"),
-        "air_temperature_kelvin": air.cast("double") / 10,
-        "process_temperature_kelvin": (air + 76 + s["c"] % 46).cast("double") / 10,
-        "rotational_speed_rpm": (F.lit(1340) + s["a"] % 200 + s["d"] % 201).cast("int"),
-        "torque_nm": torque.cast("double") / 10,
-        "tool_wear_minutes": ((s["c"] + s["d"]) % 216).cast("int"),
-    }
+def sensors(k: str = "k") -> list[str]:
+    """Sensor columns as SQL text, from an integer key column."""
+    a, b, c, d = [f"(({k} * {mul} + {add}) % {STREAM_MODULUS})" for mul, add in STREAMS.values()]
+    return [
+        f"CASE WHEN {a} % 10 < 6 THEN 'L' WHEN {a} % 10 < 9 THEN 'M' ELSE 'H' END AS type",
+        f"double(2953 + {b} % 93) / 10 AS air_temperature_kelvin",
+        f"double(2953 + {b} % 93 + 76 + {c} % 46) / 10 AS process_temperature_kelvin",
+        f"int(1340 + {a} % 200 + {d} % 201) AS rotational_speed_rpm",
+        f"double(140 + {a} % 131 + {b} % 131 + {c} % 131 + {d} % 131) / 10 AS torque_nm",
+        f"int(({c} + {d}) % 216) AS tool_wear_minutes",
+    ]
 
 
 # --- baseline / training table --------------------------------------------------
@@ -89,7 +87,7 @@ def training_path(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         keyed = _numbered_keys(spark, sf_dir)
-        rows = _with_failures(keyed.select("udi", "k", *[c.alias(n) for n, c in sensors(F.col("k")).items()]))
+        rows = _with_failures(keyed.selectExpr("udi", "k", *sensors()))
         rows = rows.withColumn("product_id", product_id(F.col("type"), F.col("udi"))).select(*S.TRAINING_COLUMNS)
         total = source(spark, sf_dir, "lineitem").count()
         files = file_count(spark, total)
@@ -189,7 +187,7 @@ def raw_readings(events: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == "error", 1).otherwise(0).alias("injected_failure"),
         (F.col("event_id") + READING_KEY_OFFSET).alias("k"),
     )
-    df = df.select("*", *[c.alias(n) for n, c in sensors(F.col("k")).items()]).withColumnRenamed("type", "machine_type")
+    df = df.selectExpr("*", *sensors()).withColumnRenamed("type", "machine_type")
     hot = (F.col("injected_failure") == 1) & (F.col("k") % 3 == 0)
     loaded = (F.col("injected_failure") == 1) & (F.col("k") % 3 != 0)
     rpm, torque = F.col("rotational_speed_rpm"), F.col("torque_nm")

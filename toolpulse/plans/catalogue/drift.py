@@ -103,7 +103,7 @@ def d5(spark, sf):
 )
 def d6(spark, sf):
     stats = D.numeric_statistics(counts(spark, sf))
-    p = D.kolmogorov_p(F.col("ks_d"), F.col("big_r"), F.col("big_c"))
+    p = D.kolmogorov_p("ks_d", "big_r", "big_c")
     both = stats.withColumn("p", p).selectExpr(
         "feature", f"stack(2, '{D.WASSERSTEIN}', wasserstein, '{D.KS}', p) as (test, value)"
     )
