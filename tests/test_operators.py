@@ -11,7 +11,8 @@ from toolpulse import schemas as S
 from toolpulse.operators import drift as D
 from toolpulse.operators import lifecycle, splits
 from toolpulse.operators import metrics as M
-from toolpulse.operators.ranking import prefix_sums, row_numbers
+from toolpulse.operators import ranking
+from toolpulse.operators.ranking import newest_rows, prefix_sums, row_numbers
 
 
 # --- ranking ------------------------------------------------------------------------
@@ -51,6 +52,29 @@ def test_ranges_keep_the_window_parallel(spark):
     assert out.where("cum_n = id + 1").count() == 5000
 
 
+def test_many_ranges_use_several_edge_blocks(spark):
+    df = spark.range(3000).select((F.col("id") * 7 % 3001).alias("id"))
+    got = row_numbers(df, "id", "n", rows_per_range=8).toPandas().sort_values("id")
+    assert (got["n"] == range(1, 3001)).all()
+    blocks = ranking.range_edges(df, "id", rows_per_range=8)
+    assert len(blocks) == 3
+    inside = df.groupBy(ranking.literal_range("id", blocks)).count().agg(F.count("*"), F.max("count")).first()
+    assert inside[0] > 350 and inside[1] < 30
+
+
+@pytest.mark.parametrize("few", [5, 40])
+def test_newest_rows_by_cut_off(spark, monkeypatch, few):
+    """A third of the rows share one timestamp; the cut-off falls among them."""
+    monkeypatch.setattr(ranking, "FEW_ROWS", few)
+    rng = random.Random(11)
+    rows = [(i, 1_700_000_000 + (500 if i % 3 == 0 else rng.randint(0, 1000))) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, s long").select("id", F.timestamp_seconds("s").alias("timestamp"))
+    order = sorted(rows, key=lambda r: (r[1], r[0]), reverse=True)
+    for n in (1, 10, 400, 899, 900, 2000):
+        got = [r["id"] for r in newest_rows(df, n, "timestamp", "id").collect()]
+        assert got == [i for i, _ in order[:n]]
+
+
 # --- splits -------------------------------------------------------------------------
 
 

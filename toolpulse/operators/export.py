@@ -133,6 +133,10 @@ class ReadingsStore:
     def purge(self, exported_ids: DataFrame) -> int:
         """Drop exactly the given ids; returns how many rows went."""
         before = self.rows()
+        first, last = before.agg(F.min("id"), F.max("id")).first()
+        if first is None:
+            return 0
+        exported_ids = exported_ids.where(F.col("id").between(first, last))
         snapshot = new_path(self.spark, "readings-snapshot")
         not_exported(before, exported_ids).write.parquet(snapshot)
         writers.point_to_snapshot(self.spark, self.pointers, snapshot)
@@ -154,7 +158,10 @@ def export_readings(
     rows = readers.readings_since(readings.rows(), since)
     start = 1
     if training.exists():
-        rows = not_exported(rows, training.exported_ids())
+        # Ids only grow, so the scan of exported ids shrinks to the files of this range.
+        first, last = rows.agg(F.min("id"), F.max("id")).first()
+        if first is not None:
+            rows = not_exported(rows, training.exported_ids().where(F.col("id").between(first, last)))
         start = next_udi(training.rows()).first()["next_udi"]
     exported = materialise(build_export(rows, start), "export")
     if dry_run or exported.isEmpty():

@@ -14,16 +14,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 ROWS_PER_RANGE = 200_000
-MAX_RANGES = 512
+MAX_RANGES = 16_384
+EDGE_BLOCK = 128
+# A sort in one task is fine up to here.
+FEW_ROWS = 1_000_000
+HISTOGRAM_BINS = 1024
 
 
 def range_count(rows: int, rows_per_range: int) -> int:
     return max(1, min(MAX_RANGES, math.ceil(rows / rows_per_range)))
 
 
-def range_of(value: Column, edges: Column) -> Column:
+def _cuts(ranges: int) -> tuple[list[float], int]:
+    """Fractions that cut a column into ``ranges`` and the accuracy to find them with."""
+    return [i / ranges for i in range(1, ranges)], max(10_000, 10 * ranges)
+
+
+def blocks_of(edges: list) -> list[list]:
+    """Sorted edges in blocks, so that a row is placed in two short searches."""
+    edges = sorted(set(edges))
+    return [edges[i : i + EDGE_BLOCK] for i in range(0, len(edges), EDGE_BLOCK)]
+
+
+def range_of(value: Column, blocks: Column) -> Column:
     """Number of edges below ``value``; equal values always share a range."""
-    return F.size(F.filter(edges, lambda edge: edge < value))
+    full = F.size(F.filter(blocks, lambda block: F.element_at(block, -1) < value))
+    rest = F.filter(F.coalesce(F.get(blocks, full), F.array()), lambda edge: edge < value)
+    return full * EDGE_BLOCK + F.size(rest)
 
 
 def prefix_sums(
@@ -49,12 +66,13 @@ def prefix_sums(
     if rows is None:
         rows = {r[key]: r["count"] for r in df.groupBy(key).count().collect()}
     ranges = {name: range_count(n, rows_per_range) for name, n in rows.items() if name in keys}
-    edges = {name: [] for name in ranges}
-    if max(ranges.values(), default=1) > 1:
-        cuts = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-        for row in df.groupBy(key).agg(F.percentile_approx(order, cuts, 10 * MAX_RANGES).alias("edges")).collect():
-            step = MAX_RANGES / ranges[row[key]]
-            edges[row[key]] = sorted({row["edges"][round(i * step) - 1] for i in range(1, ranges[row[key]])})
+    blocks = {name: [] for name in ranges}
+    finest = max(ranges.values(), default=1)
+    if finest > 1:
+        cuts, accuracy = _cuts(finest)
+        for row in df.groupBy(key).agg(F.percentile_approx(order, cuts, accuracy).alias("edges")).collect():
+            step = finest / ranges[row[key]]
+            blocks[row[key]] = blocks_of([row["edges"][round(i * step) - 1] for i in range(1, ranges[row[key]])])
 
     def accumulate(frame: DataFrame, *partition: str) -> DataFrame:
         window = Window.partitionBy(*partition).orderBy(order)
@@ -62,13 +80,13 @@ def prefix_sums(
         out = frame.withColumns({f"cum_{c}": F.sum(c).over(running) for c in sums})
         return out.withColumn(f"next_{order}", F.lead(order).over(window)) if lead else out
 
-    if not any(edges.values()):
+    if not any(blocks.values()):
         return accumulate(df, key)
 
     order_type = df.schema[order].dataType
     table = spark.createDataFrame(
-        [(name, e) for name, e in edges.items()],
-        f"{key} {df.schema[key].dataType.simpleString()}, __edges array<{order_type.simpleString()}>",
+        list(blocks.items()),
+        f"{key} {df.schema[key].dataType.simpleString()}, __edges array<array<{order_type.simpleString()}>>",
     )
     ranged = df.join(F.broadcast(table), key).withColumn("__range", range_of(F.col(order), F.col("__edges")))
     ranged = ranged.drop("__edges")
@@ -90,29 +108,72 @@ def prefix_sums(
     return out.drop("__range", "__next_first", *[f"__o_{c}" for c in sums])
 
 
-def range_edges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> list:
-    """Cut points that spread a numeric column over ranges; empty for few rows."""
-    cuts = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    profile = df.agg(F.count("*").alias("n"), F.percentile_approx(order, cuts, 10 * MAX_RANGES).alias("edges")).first()
-    ranges = range_count(profile["n"], rows_per_range)
-    step = MAX_RANGES / ranges
-    return sorted({profile["edges"][round(i * step) - 1] for i in range(1, ranges)}) if profile["n"] else []
+def range_edges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> list[list]:
+    """Cut points, in blocks, that spread a numeric column over ranges; empty for few rows."""
+    ranges = range_count(df.count(), rows_per_range)
+    if ranges == 1:
+        return []
+    cuts, accuracy = _cuts(ranges)
+    return blocks_of(df.agg(F.percentile_approx(order, cuts, accuracy)).first()[0])
 
 
-def literal_range(order: str, edges: list) -> Column:
-    return range_of(F.col(order), F.array(*[F.lit(e) for e in edges])) if edges else F.lit(0)
+def literal_range(order: str, blocks: list[list]) -> Column:
+    if not blocks:
+        return F.lit(0)
+    return range_of(F.col(order), F.array(*[F.lit(block) for block in blocks]))
+
+
+def newest_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The ``n`` greatest rows by ``order`` (numbers or timestamps; the last one unique).
+
+    A top-k over many input partitions sends k rows of each to one task. So a
+    cut-off is found first, by counting rows in ever narrower bins, and only
+    the rows beyond it, at most about a million more than ``n``, are sorted.
+    """
+    kept = df
+    if df.count() > max(n, FEW_ROWS):
+        kept = df.where(_beyond_cut_off(df, n, list(order)))
+    return kept.orderBy(*[F.desc(c) for c in order]).limit(n)
+
+
+def _beyond_cut_off(df: DataFrame, n: int, order: list[str]) -> Column:
+    """A condition that keeps the top ``n`` rows and at most ``FEW_ROWS`` others."""
+    name = order[0]
+    is_time = df.schema[name].dataType.typeName().startswith("timestamp")
+    number = F.unix_micros(name) if is_time else F.col(name)
+
+    def literal(value: int) -> Column:
+        return F.timestamp_micros(F.lit(value)) if is_time else F.lit(value)
+
+    low, high = df.agg(F.min(number), F.max(number)).first()
+    while True:
+        width = max(1, -(-(high - low + 1) // HISTOGRAM_BINS))
+        inside = F.col(name).between(literal(low), literal(high))
+        bins = df.where(inside).groupBy(F.floor((number - F.lit(low)) / F.lit(width)).cast("int").alias("bin")).count()
+        sizes = {r["bin"]: r["count"] for r in bins.collect()}
+        for b in sorted(sizes, reverse=True):
+            if n <= sizes[b]:
+                break
+            n -= sizes[b]
+        low, high = low + b * width, min(high, low + (b + 1) * width - 1)
+        if sizes[b] <= FEW_ROWS:
+            return F.col(name) >= literal(low)
+        if width == 1:  # one value holds the crowd: go on with the next column
+            same = df.where(F.col(name) == literal(low))
+            rest = _beyond_cut_off(same, n, order[1:]) if order[1:] else F.lit(True)
+            return (F.col(name) > literal(low)) | ((F.col(name) == literal(low)) & rest)
 
 
 def row_numbers(
     df: DataFrame, order: str, name: str, start: int = 1, by: str | None = None, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Consecutive numbers from ``start`` in the order of a unique numeric column, per ``by`` if given."""
-    edges = range_edges(df, order, rows_per_range)
+    blocks = range_edges(df, order, rows_per_range)
     keys = [by] if by else []
-    if not edges:
+    if not blocks:
         window = Window.partitionBy(*keys).orderBy(order)
         return df.withColumn(name, (F.row_number().over(window) + F.lit(start - 1)).cast("long"))
-    ranged = df.withColumn("__range", literal_range(order, edges))
+    ranged = df.withColumn("__range", literal_range(order, blocks))
     sizes = ranged.groupBy(*keys, "__range").count()
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"))

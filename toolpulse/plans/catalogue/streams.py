@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from toolpulse import schemas as S
 from toolpulse.operators.experiments import BINARY_MODEL, EXPERIMENTS, MULTICLASS_MODEL
+from toolpulse.operators.ranking import newest_rows
 from toolpulse.plans import adapters as A
 from toolpulse.plans import jobs
 from toolpulse.plans import sql as Q
@@ -70,7 +71,7 @@ def t4(spark, sf):
         availableNow=True
     ).start().awaitTermination()
     log = spark.read.schema(S.READINGS_SCHEMA).option("recursiveFileLookup", True).parquet(f"{root}/log")
-    newest = log.orderBy(F.desc("timestamp"), F.desc("id")).limit(S.CURRENT_ROW_LIMIT)
+    newest = newest_rows(log, S.CURRENT_ROW_LIMIT, "timestamp", "id")
     return newest.groupBy("machine_id").agg(F.count("*").alias("readings"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from toolpulse import schemas as S
 from toolpulse.functions.features import engineer_features, to_clean_names
+from toolpulse.operators.ranking import newest_rows
 
 
 def training_table(spark: SparkSession, path: str) -> DataFrame:
@@ -66,12 +67,11 @@ def current_sample(
     """Newest ``limit`` readings after ``since``; null rows are dropped after the limit.
 
     ``limit=None`` compares everything, which the drift statistics can do at
-    any size. The limit gathers ``limit`` rows in one task, so it is meant for
-    the usual ten thousand.
+    any size.
     """
     rows = readings_since(readings, since)
     if limit is not None:
-        rows = rows.orderBy(F.desc("timestamp"), F.desc("id")).limit(limit)
+        rows = newest_rows(rows, limit, "timestamp", "id")
     return complete_rows(current_features(rows), S.FEATURES)
 
 
@@ -90,8 +90,5 @@ def parse_requests(requests: DataFrame, payload: str = "payload") -> tuple[DataF
 
 
 def training_window(training: DataFrame, rows: int | None = S.TRAINING_WINDOW) -> DataFrame:
-    """The last ``rows`` of the training table by id; ``None`` takes all of it.
-
-    Like the reading limit, this gathers ``rows`` in one task.
-    """
-    return training if rows is None else training.orderBy(F.desc("udi")).limit(rows)
+    """The last ``rows`` of the training table by id; ``None`` takes all of it."""
+    return training if rows is None else newest_rows(training, rows, "udi")
