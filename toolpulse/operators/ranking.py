@@ -196,7 +196,7 @@ def hash_cuts(df: DataFrame, group: str, digest: str, wanted) -> dict[object, li
     are a small share of any group, however large the group is. Groups must be
     few (classes); the answer is a short dictionary.
     """
-    step = 3
+    step = 2
     width = step
     counts = _prefix_counts(df, group, digest, width)
     cuts: dict = {}
