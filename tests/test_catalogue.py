@@ -4,6 +4,7 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from toolpulse.plans import adapters
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = [
@@ -27,3 +28,12 @@ def test_entry_reports_every_feature(spark):
 @pytest.mark.parametrize("name", SAMPLE)
 def test_query_matches_sql(spark, name):
     assert compare(entry.queries()[name](spark, SF), entry.oracle_sql()[name], connect(SF)) is None
+
+
+def test_crowded_keys_unfold_in_chunks(spark, monkeypatch):
+    """Keys with more rows than a chunk give the same numbering."""
+    plain = adapters._numbered_keys(spark, SF)
+    monkeypatch.setattr(adapters, "EXPAND_CHUNK", 1)
+    chunked = adapters._numbered_keys(spark, SF)
+    assert plain.count() == chunked.count() == plain.select("udi").distinct().count()
+    assert chunked.exceptAll(plain).isEmpty()

@@ -3,7 +3,6 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from toolpulse import schemas as S
 from toolpulse.functions.features import engineer_features
 from toolpulse.operators import models as MM
 from toolpulse.operators.experiments import BINARY_MODEL, EXPERIMENTS, MULTICLASS_MODEL
