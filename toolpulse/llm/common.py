@@ -1,5 +1,9 @@
 """Helpers that several operators share."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,6 +11,7 @@ from toolpulse.sources.durable import materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SALTS = 16
+SLICE_CHARS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,3 +60,15 @@ def components(edges: DataFrame) -> DataFrame:
         if stepped.where("moved").isEmpty():
             return stepped.select("node", F.col("label").alias("component"))
         labels = stepped.select("node", "label")
+
+
+def slices(batch: pa.RecordBatch, column: str, chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``chars`` characters of text; one row at least."""
+    start = total = 0
+    for i, size in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+        if total and total + (size or 0) > chars:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += size or 0
+    if start < batch.num_rows:
+        yield batch.slice(start)

@@ -2,10 +2,13 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from toolpulse.llm import line_dedup, url_filters
+from toolpulse.llm import byte_bpe, lang_id, line_dedup, packing, url_filters, warc
 from toolpulse.llm.common import table
+from toolpulse.sources.durable import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +41,38 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op4_lang_id")
+def op4_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = lang_id.train(lang_id.labelled_part(docs))
+    found = lang_id.identify(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.withColumn("held_out", lang_id.held_out(F.col("doc_id")))
+
+
+@query("op5_byte_bpe")
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    encoded = byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN, decoded=True)
+    return encoded.select(
+        "doc_id",
+        F.expr("CAST(octet_length(ids) / 4 AS long)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer, public_tokenizers.PATTERN)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op9_warc", warc.round_trip_sql())
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.resolve_revisits(warc.assemble(warc.read_records(spark, path)))
