@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from toolpulse.llm import byte_bpe, lang_id, line_dedup, packing, url_filters, warc
+from toolpulse.llm import (
+    byte_bpe,
+    embedding_dups,
+    jaccard_join,
+    lang_id,
+    line_dedup,
+    packing,
+    secret_scan,
+    topk,
+    url_filters,
+    warc,
+)
 from toolpulse.llm.common import table
 from toolpulse.sources.durable import new_path
 
@@ -43,6 +54,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@query("op3_embedding_near_dedup", embedding_dups.near_duplicates_sql())
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op4_lang_id")
 def op4_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +80,11 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_exact_top_k", topk.top_k_sql())
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k_of_table(table(spark, sf_dir, "embeddings"))
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,8 +92,18 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query("op8_ngram_jaccard_join", jaccard_join.similar_documents_sql(3, 90))
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"), jaccard_join.Similarity(3, 90))
+
+
 @query("op9_warc", warc.round_trip_sql())
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "archives")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     return warc.resolve_revisits(warc.assemble(warc.read_records(spark, path)))
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
