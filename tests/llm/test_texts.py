@@ -1,0 +1,197 @@
+"""Line dedup, similar documents, language and secrets."""
+
+import random
+
+import numpy as np
+import pytest
+from helpers import as_rows, docs_frame, odd_docs
+from oracle_check import compare, connect
+
+from toolpulse.llm import jaccard_join, lang_id, line_dedup, queries, secret_scan
+from toolpulse.llm.jaccard_join import Similarity
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ["op2_line_dedup", "op8_ngram_jaccard_join"])
+def test_query_matches_sql(spark, name):
+    assert compare(queries.QUERIES[name](spark, SF), queries.ORACLES[name], connect(SF)) is None
+
+
+def test_lines_on_many_sites_stay_once(spark):
+    sites = [f"s{i}" for i in range(9)]
+    rows = [(i, f"own {i}\n  menu \nfooter{i % 4}\n", "en", s) for i, s in enumerate(sites)]
+    rows += [(20, "footer0\nmenu\nmenu", "en", None), (21, "shared\nshared", "en", "s1")]
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in line_dedup.dedup_lines(docs_frame(spark, rows), 5).collect()}
+    assert got[0] == ("own 0\n  menu \nfooter0\n", 0)
+    assert got[1] == ("own 1\nfooter1\n", 1)
+    assert got[20] == ("footer0", 2)  # three sites are too few; a null source is none
+    assert got[21] == ("shared\nshared", 0)
+
+
+def test_spread_far_and_near_the_threshold(spark):
+    """The sketch and the exact count agree with a plain count."""
+    rows = [(100 * n + s, f"line {n}", "en", f"s{s}") for n in range(1, 40) for s in range(n)]
+    occurrences = line_dedup._occurrences(docs_frame(spark, rows))
+    assert line_dedup.spread_lines(occurrences, 16).count() == len([n for n in range(1, 40) if n >= 16])
+
+
+def test_line_dedup_of_odd_rows(spark):
+    docs = odd_docs(spark)
+    got = line_dedup.dedup_lines(docs, 2)
+    assert got.columns == [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")] + ["text", "n_lines", "n_removed"]
+    assert got.count() == docs.count()
+    first = got.where("doc_id IS NULL AND text IS NOT NULL").first()  # null is the smallest id
+    assert first["n_removed"] == 0
+    assert [r["text"] for r in got.where("doc_id = 1").collect()] == ["", ""]
+    assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
+
+
+def brute_force(rows, similarity):
+    sets = {}
+    for i, text, *_ in rows:
+        w = "".join(c.lower() if c.isascii() else c for c in text or "").replace("\n", " ").split(" ")
+        w = [x for x in w if x]
+        k = min(similarity.words, len(w))
+        sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} if w else set()
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and both and 100 * both >= similarity.percent * len(sets[a] | sets[b]):
+                ra, rb = sorted((root(a), root(b)))
+                parent[rb] = ra
+    return sorted((i, len(s), root(i)) for i, s in sets.items())
+
+
+def mutated(words, rate, rnd):
+    return [rnd.choice("abcdefghij") * 3 + str(rnd.randint(0, 999)) if rnd.random() < rate else w for w in words]
+
+
+@pytest.mark.parametrize("similarity", [Similarity(5, 80), Similarity(3, 90), Similarity(1, 60)])
+def test_similar_documents_match_brute_force(spark, similarity):
+    """A hot group of near copies around the threshold, chains, short texts and passages that many share."""
+    rnd = random.Random(similarity.percent)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    rows, i = [], 0
+    passage = rnd.choices(vocabulary, k=60)
+    for base_size, copies, rate in ((150, 60, 0.03), (40, 30, 0.02), (400, 10, 0.01), (12, 20, 0.05)):
+        base = rnd.choices(vocabulary, k=base_size)
+        for _ in range(copies):
+            base = base if rnd.random() < 0.8 else mutated(base, rate / 2, rnd)
+            i += 1
+            rows.append((i, " ".join(mutated(base, rate, rnd)), "en", "a"))
+    for _ in range(60):
+        i += 1
+        rows.append((i, " ".join(passage + rnd.choices(vocabulary, k=rnd.randint(1, 80))), "en", "b"))
+    for size in (1, 1, 2, 2, 3, 4, 5, 6, 9, 10, 11):
+        i += 1
+        rows.append((i, " ".join(vocabulary[:size]).upper(), "en", "c"))
+    rnd.shuffle(rows)
+    got = as_rows(jaccard_join.similar_documents(docs_frame(spark, rows), similarity))
+    assert sorted(got) == brute_force(rows, similarity)
+
+
+def test_similar_documents_of_odd_rows(spark):
+    docs = odd_docs(spark)
+    got = as_rows(jaccard_join.similar_documents(docs))
+    assert len(got) == docs.count()
+    component = {r[0]: r[2] for r in got}
+    assert (component[1], component[5], component[6]) == (1, 5, 5)
+    assert (component[2], component[3], component[4], component[None]) == (2, 3, 4, None)
+    assert jaccard_join.similar_documents(docs.limit(0)).count() == 0
+
+
+def test_linked_sets_share_a_segment():
+    """At every size, sets that differ as much as a link allows agree in a key."""
+    rnd = np.random.default_rng(1)
+    for similarity in (Similarity(5, 80), Similarity(3, 90)):
+        for size in list(range(5, 60)) + [200, 1000, 3000]:
+            tokens = rnd.integers(0, 2**63, 3 * size, dtype=np.uint64)
+            x = np.unique(tokens[:size])
+            for y_size in (size, int(size / 0.95), 100 * size // similarity.percent):
+                common = max(similarity.least_overlap(size + y_size), 0)
+                if common > size or 100 * common < similarity.percent * (size + y_size - common):
+                    continue
+                y = np.unique(np.concatenate([x[rnd.permutation(size)[:common]], tokens[size : size + y_size - common]]))
+                if not np.array_equal(x, y):
+                    keys = [jaccard_join.segment_keys(s, similarity) for s in (x, y)]
+                    assert np.intersect1d(*keys).size, (similarity, size, y_size)
+
+
+def test_language_of_held_out_documents(spark):
+    rows = queries.QUERIES["op4_lang_id"](spark, "/root/testdata/sf0.01")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    joined = rows.join(docs, "doc_id").where("held_out AND lang IS NOT NULL")
+    assert joined.count() > 200
+    assert joined.where("lang = lang_pred").count() >= 0.98 * joined.count()
+    assert rows.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
+
+
+def test_language_of_odd_rows(spark):
+    docs = odd_docs(spark)
+    learn = docs_frame(spark, [(i, t, lang, "a") for i, (t, lang) in enumerate([("the and of", "en"), ("der die und", "de"), ("le la et", "fr")] * 4)])
+    model = lang_id.train(learn)
+    got = lang_id.identify(docs, model)
+    assert got.columns == [c for c in docs.columns if c != "score"] + ["lang_pred", "score", "ambiguous"]
+    by_id = {r["doc_id"]: r["lang_pred"] for r in got.where("doc_id IS NOT NULL").collect()}
+    assert {by_id[i] for i in (2, 3, 4, 7)} == {"und"} and by_id[5] in ("en", "de", "fr")
+    assert got.count() == docs.count()
+    none = lang_id.train(learn.limit(0))
+    assert {r["lang_pred"] for r in lang_id.identify(docs, none).collect()} == {"und"}
+    one = lang_id.train(learn.where("lang = 'en'"))
+    assert {(r["lang_pred"], r["score"]) for r in lang_id.identify(docs.where("doc_id = 1"), one).collect()} == {("en", 1.0)}
+
+
+def test_grams_of_long_texts_cross_chunks(monkeypatch):
+    text = "Der schöne Fluß 123 ließ " * 50
+    whole = lang_id.gram_counts(text)
+    monkeypatch.setattr(lang_id, "CHUNK", 64)
+    assert (lang_id.gram_counts(text) == whole).all()
+
+
+def test_codewords_lie_apart():
+    for count in (2, 3, 4, 5, 9, 40):
+        code = lang_id.codewords(count)
+        apart = min((code[i] != code[j]).sum() for i in range(count) for j in range(i))
+        assert apart >= (1 if count == 2 else code.shape[1] // 4)
+
+
+def test_ambiguous_text_is_flagged(spark):
+    learn = docs_frame(spark, [(1, "aa bb cc", "x", "a"), (2, "aa bb cc", "y", "a"), (3, "qq rr", "z", "a")])
+    got = lang_id.identify(docs_frame(spark, [(1, "aa bb", None, "a"), (2, "qq rr", None, "a")]), lang_id.train(learn))
+    assert [r["ambiguous"] for r in got.orderBy("doc_id").collect()] == [True, False]
+
+
+SECRET = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+
+
+def test_secrets_and_look_alikes(spark):
+    rnd = random.Random(3)
+    value = lambda: "".join(rnd.choices("0123456789abcdef", k=40))
+    rows = [(i, f'some text with api_token = "{value()}" inside', "en", "a") for i in range(60)]
+    rows += [(100 + i, f"card {rnd.randint(10**15, 10**16)} and mail name.{i}@mail.example.com here", "en", "a") for i in range(60)]
+    rows += [(200 + i, f"see commit {value()} for more", "en", "a") for i in range(60)]
+    got = secret_scan.scan(docs_frame(spark, rows))
+    hits = {r["doc_id"] for r in got.where("is_secret").collect()}
+    assert hits == set(range(60))
+    text = {i: t for i, t, *_ in rows}
+    assert all(text[r["doc_id"]][r["start"] : r["end"]] == r["value"] for r in got.collect())
+
+
+def test_redaction_of_odd_rows(spark):
+    rows = [(i, f'key{i} token = "{SECRET[i % 7 :]}" é end', "en", "a") for i in range(40)] + [(50 + i, f"plain number {10**16 + i}", "en", "a") for i in range(40)]
+    docs = docs_frame(spark, rows + [rows[0], (None, None, None, None), (90, "", "en", "b"), (91, f'ü token = "{SECRET}" token = "{SECRET}"', "en", "c")])
+    got = secret_scan.redact(docs)
+    assert got.columns == docs.columns and got.count() == docs.count()
+    texts = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert texts[0] == 'key0 token = "<SECRET>" é end' and texts[91] == 'ü token = "<SECRET>" token = "<SECRET>"'
+    assert texts[50] == f"plain number {10**16}" and texts[90] == "" and texts[None] is None
+    assert secret_scan.redact(docs.limit(0)).count() == 0
+    assert secret_scan.scan(docs.where("doc_id >= 50 AND doc_id < 90")).where("is_secret").count() == 0
