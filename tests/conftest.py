@@ -36,8 +36,8 @@ def raw_training_rows():
             flags = {f: int(f == flag) for f in ("TWF", "HDF", "PWF", "OSF")}
             rows.append(
                 (
-                    udi, f"M{udi}", "LMH"[i % 3], 295.0 + 0.3 * i, 305.0 + 0.3 * i, 1300 + 5 * i, 25.0 + 0.5 * i,
-                    10 + 2 * i, failed, flags["TWF"], flags["HDF"], flags["PWF"], flags["OSF"], 0,
+                    udi, f"M{udi}", "LMH"[i % 3], 296.2 + 0.21 * (i % 8), 306.4 + 0.17 * (i % 11), 1410 + 9 * (i % 7), 31.5 + 0.45 * (i % 9),
+                    4 + 3 * (i % 12), failed, flags["TWF"], flags["HDF"], flags["PWF"], flags["OSF"], 0,
                 )
             )
     return rows

@@ -71,14 +71,26 @@ def test_export_is_idempotent_and_purges_exactly(space, readings):
     assert exported.orderBy("udi").first()["product_id"][1:] == "20001"
     assert jobs.export_readings(space.readings, space.training).count() == 0
     assert space.training.training().count() == 275
+    before = space.readings.rows()
     late = readings.where("id <= 3").withColumn("id", F.col("id") + 1000)
-    writers.append_readings(late, space.readings.current_path())
-    assert space.readings.purge(space.training.exported_ids()) == 200
-    assert {r["id"] for r in space.readings.rows().collect()} == {1001, 1002, 1003}
-    assert jobs.export_readings(space.readings, space.training, purge=True).count() == 3
+    writers.append_readings(late, space.readings.path)
+    assert space.readings.purge(before.select("id")) == 200
+    # A writer that knows the log's folder goes on after the purge.
+    writers.append_readings(late.withColumn("id", F.col("id") + 1000), space.readings.path)
+    assert {r["id"] for r in space.readings.rows().collect()} == {1001, 1002, 1003, 2001, 2002, 2003}
+    assert jobs.export_readings(space.readings, space.training, purge=True).count() == 6
     assert space.readings.rows().isEmpty()
 
 
+def test_retried_export_purges(spark, space):
+    """An export that ended before its purge is made up for; the log opens again in another session."""
+    assert jobs.export_readings(space.readings, space.training).count() == 200
+    assert jobs.export_readings(space.readings, space.training, purge=True).count() == 0
+    assert space.readings.purge(space.training.exported_ids()) == 0
+    again = jobs.Workspace(spark.newSession(), space.root)
+    assert again.readings.rows().isEmpty() and again.training.training().count() == 275
+
+
 def test_dry_run_writes_nothing(space):
     assert jobs.export_readings(space.readings, space.training, dry_run=True).count() == 200
     assert space.training.training().count() == 75
@@ -134,8 +146,8 @@ def test_failed_export_is_logged_and_raised(spark, space, training, monkeypatch)
 
 @pytest.mark.parametrize(
     "new, production, floor, improvement, above",
-    [(0.70, None, 0.60, True, True), (0.90, 0.85, 0.85, True, True), (0.80, 0.85, 0.60, False, True),
-     (0.85, 0.85, 0.60, False, True), (0.50, 0.40, 0.60, True, False)],
+    [(0.41, None, 0.37, True, True), (0.36, None, 0.37, True, False), (0.93, 0.92, 0.88, True, True),
+     (0.71, 0.77, 0.37, False, True), (0.66, 0.66, 0.37, False, True), (0.35, 0.21, 0.37, True, False)],
 )
 def test_promotion_gates(spark, new, production, floor, improvement, above):
     df = spark.createDataFrame([(new, production, floor)], "n double, p double, f double")

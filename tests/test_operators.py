@@ -23,7 +23,7 @@ def test_prefix_sums_match_plain_window(spark, rows_per_range):
     rng = random.Random(1)
     rows = {("a" if rng.random() < 0.9 else "b", rng.randint(0, 500)): rng.randint(1, 9) for _ in range(900)}
     df = spark.createDataFrame([(k, v, n) for (k, v), n in rows.items()], "k string, v long, n long")
-    got = prefix_sums(df, "k", ["a", "b"], "v", ["n"], lead=True, rows_per_range=rows_per_range).toPandas()
+    got = prefix_sums(df, "k", "v", ["n"], lead=True, rows_per_range=rows_per_range).toPandas()
     want = df.toPandas().sort_values(["k", "v"])
     want["cum_n"] = want.groupby("k")["n"].cumsum()
     want["next_v"] = want.groupby("k")["v"].shift(-1)
@@ -44,7 +44,7 @@ def test_row_numbers(spark, rows_per_range, by):
 
 def test_ranges_keep_the_window_parallel(spark):
     df = spark.range(5000).select("id", F.concat(F.lit("x"), F.col("id") % 1).alias("k"), F.lit(1).alias("n"))
-    out = prefix_sums(df, "k", ["x0"], "id", ["n"], rows_per_range=100)
+    out = prefix_sums(df, "k", "id", ["n"], rows_per_range=100)
     plan = out._jdf.queryExecution().executedPlan().toString()
     windows = re.findall(r"Window \[.*windowspecdefinition\((k#\d+, )(__range#\d+)?", plan)
     assert any(by_range for _, by_range in windows)
@@ -52,16 +52,37 @@ def test_ranges_keep_the_window_parallel(spark):
     assert out.where("cum_n = id + 1").count() == 5000
 
 
-def test_many_ranges_use_several_edge_blocks(spark):
+def test_many_ranges(spark):
     df = spark.range(3000).select((F.col("id") * 7 % 3001).alias("id"))
     got = row_numbers(df, "id", "n", rows_per_range=8).toPandas().sort_values("id")
     assert (got["n"] == range(1, 3001)).all()
-    blocks = ranking.range_edges(df, "id", rows_per_range=8)
-    assert len(blocks) == 3
-    inside = df.groupBy(ranking.literal_range("id", blocks)).count().agg(F.count("*"), F.max("count")).first()
+    inside = ranking.in_ranges(df, "id", rows_per_range=8).groupBy("__range").count()
+    inside = inside.agg(F.count("*"), F.max("count")).first()
     assert inside[0] > 350 and inside[1] < 30
 
 
+@pytest.mark.parametrize("few", [5, 1_000_000])
+def test_newest_rows_keep_nulls_last(spark, monkeypatch, few):
+    """Rows without a time fill up what the others leave, at both scales; so do all-null tables."""
+    monkeypatch.setattr(ranking, "FEW_ROWS", few)
+    df = spark.range(1000).select("id", F.when(F.col("id") % 10 == 0, F.timestamp_seconds(F.col("id") + 10**9)).alias("timestamp"))
+    got = [r["id"] for r in newest_rows(df, 500, "timestamp", "id").collect()]
+    assert got == [i for i in range(999, -1, -1) if i % 10 == 0] + [i for i in range(999, -1, -1) if i % 10][:400]
+    none = df.where("timestamp IS NULL")
+    assert [r["id"] for r in newest_rows(none, 3, "timestamp", "id").collect()] == [999, 998, 997]
+    assert newest_rows(none.limit(0), 3, "timestamp", "id").count() == 0
+
+
+@pytest.mark.parametrize("rows_per_range", [10_000, 20])
+def test_statistics_of_own_features(spark, rows_per_range):
+    """Features beyond the product's nine work at every size."""
+    df = spark.range(300).select((F.col("id") % 100).cast("double").alias("own"), F.lit("x").alias("kind"))
+    counts = D.value_counts(df, df.limit(0), numeric=["own"], categorical=["kind"]).cache()
+    running = prefix_sums(counts.where("value IS NOT NULL"), "feature", "value", ["n_ref"], rows_per_range=rows_per_range)
+    assert running.where("cum_n_ref = 3 * (value + 1)").count() == 100
+    assert {r["feature"]: r["p50"] for r in D.data_summary(counts, "n_ref").collect()}["own"] == 49.5
+
+
 @pytest.mark.parametrize("few", [5, 40])
 def test_newest_rows_by_cut_off(spark, monkeypatch, few):
     """A third of the rows share one timestamp; the cut-off falls among them."""
@@ -152,7 +173,7 @@ def test_statistics_with_many_ranges(spark, monkeypatch):
     rng = random.Random(4)
     ref, cur = sample(rng, 800), sample(rng, 300, shift=0.5)
     counts = D.value_counts(frame(spark, ref), frame(spark, cur)).cache()
-    running = prefix_sums(counts.where("value is not null"), "feature", S.NUMERIC_FEATURES, "value", ["n_ref", "n_cur"], lead=True, rows_per_range=20)
+    running = prefix_sums(counts.where("value is not null"), "feature", "value", ["n_ref", "n_cur"], lead=True, rows_per_range=20)
     plain = D.ecdf(counts)
     columns = plain.columns
     assert running.select(columns).exceptAll(plain).isEmpty() and running.count() == plain.count()

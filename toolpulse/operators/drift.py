@@ -47,10 +47,10 @@ def value_counts(reference: DataFrame, current: DataFrame, **features) -> DataFr
     return name_features(counts, **features)
 
 
-def ecdf(counts: DataFrame, distinct: dict[str, int] | None = None) -> DataFrame:
+def ecdf(counts: DataFrame) -> DataFrame:
     """Running counts of both samples over the distinct values of each numeric feature."""
     numeric = counts.where(F.col("value").isNotNull())
-    return prefix_sums(numeric, "feature", S.NUMERIC_FEATURES, "value", ["n_ref", "n_cur"], lead=True, rows=distinct)
+    return prefix_sums(numeric, "feature", "value", ["n_ref", "n_cur"], lead=True)
 
 
 # --- p-values -----------------------------------------------------------------
@@ -141,10 +141,9 @@ def sample_sizes(counts: DataFrame) -> DataFrame:
 SIZE_KEYS = ["feature", "big_r", "big_c", "distinct_all", "distinct_ref"]
 
 
-def numeric_statistics(counts: DataFrame, sizes: tuple | None = None) -> DataFrame:
+def numeric_statistics(counts: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """KS, normalised Wasserstein and share statistics; one row per numeric feature."""
-    sizes, rows = sizes or held_sizes(counts)
-    running = ecdf(counts, rows).join(F.broadcast(sizes), "feature")
+    running = ecdf(counts).join(F.broadcast(sizes or held_sizes(counts)), "feature")
     gap = "abs(try_divide(cum_n_ref, big_r) - try_divide(cum_n_cur, big_c))"
     area = f"coalesce(sum({gap} * (next_value - value)), 0D)"
     spread = "sqrt(try_divide(sum(n_ref * (value - mean_ref) * (value - mean_ref)), sum(n_ref)))"
@@ -156,22 +155,21 @@ def numeric_statistics(counts: DataFrame, sizes: tuple | None = None) -> DataFra
     )
 
 
-def categorical_statistics(counts: DataFrame, sizes: tuple | None = None) -> DataFrame:
+def categorical_statistics(counts: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Jensen-Shannon, chi-squared and z statistics; one row per categorical feature."""
     nothing = F.lit(None).cast("double")
     return (
         counts.where(F.col("category").isNotNull())
-        .join(F.broadcast((sizes or held_sizes(counts))[0]), "feature")
+        .join(F.broadcast(sizes or held_sizes(counts)), "feature")
         .groupBy(*SIZE_KEYS)
         .agg(F.lit(False).alias("is_numeric"), nothing.alias("ks_d"), nothing.alias("wasserstein"), *_share_terms())
     )
 
 
-def held_sizes(counts: DataFrame) -> tuple[DataFrame, dict[str, int]]:
-    """The sizes, computed once and held as literal rows (one per feature), and the distinct values."""
+def held_sizes(counts: DataFrame) -> DataFrame:
+    """The sizes, computed once and held as literal rows, one per feature."""
     frame = sample_sizes(counts)
-    rows = frame.collect()
-    return counts.sparkSession.createDataFrame(rows, frame.schema), {r["feature"]: r["distinct_all"] for r in rows}
+    return counts.sparkSession.createDataFrame(frame.collect(), frame.schema)
 
 
 def feature_statistics(counts: DataFrame) -> DataFrame:
@@ -299,7 +297,7 @@ def data_summary(counts: DataFrame, side: str) -> DataFrame:
         F.max("value").alias("max"),
         F.max(F.when(F.col("category").isNotNull(), F.struct(F.col(side).alias("n"), F.col("category")))).alias("__top"),
     )
-    running = prefix_sums(own.where(F.col("value").isNotNull()), "feature", S.NUMERIC_FEATURES, "value", [side], lead=True)
+    running = prefix_sums(own.where(F.col("value").isNotNull()), "feature", "value", [side], lead=True)
     centred = F.col("value") - F.col("mean")
     below, upto = F.col(f"cum_{side}") - F.col(side), F.col(f"cum_{side}")
     picks = []
@@ -333,22 +331,28 @@ def bin_number(value: Column, low: Column, high: Column, bins: int) -> Column:
     )
 
 
-def reference_ranges(counts: DataFrame) -> DataFrame:
-    """Least and greatest reference value per numeric feature."""
-    return counts.where((F.col("n_ref") > 0) & F.col("value").isNotNull()).groupBy("feature").agg(
-        F.min("value").alias("low"), F.max("value").alias("high")
-    )
+def feature_ranges(reference: DataFrame, numeric=S.NUMERIC_FEATURES) -> DataFrame:
+    """Least and greatest value per numeric feature, from one pass without a shuffle of values."""
+    limits = [
+        F.struct(F.lit(c).alias("feature"), F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high"))
+        for c in numeric
+    ]
+    return reference.agg(F.array(*limits).alias("limits")).select(F.inline("limits"))
+
 
+def binned_rows(frame: DataFrame, ranges: DataFrame, bins: int, n: str, *keys: Column, keep: tuple = ()) -> DataFrame:
+    """Rows per numeric feature and bin; each row is binned where it lies, so only bins are shuffled."""
+    rows = name_features(unpivot_features(frame, *keep, categorical=[]).where(F.col("value").isNotNull()), categorical=[])
+    number = bin_number(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin")
+    return rows.join(F.broadcast(ranges), "feature").groupBy(*keys, "feature", number).agg(F.count("*").alias(n))
 
-def histograms(counts: DataFrame, bins: int = 10) -> DataFrame:
+
+def histograms(reference: DataFrame, current: DataFrame, bins: int = 10) -> DataFrame:
     """Rows per bin of the reference range, reference beside current."""
-    numeric = counts.where(F.col("value").isNotNull())
-    ranges = F.broadcast(reference_ranges(counts))  # one row per feature
-    return (
-        numeric.join(ranges, "feature")
-        .groupBy("feature", bin_number(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin"))
-        .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
-    )
+    ranges = feature_ranges(reference)  # one row per feature
+    sides = [binned_rows(reference, ranges, bins, "n_ref"), binned_rows(current, ranges, bins, "n_cur")]
+    joined = sides[0].join(sides[1], ["feature", "bin"], "full")
+    return joined.select("feature", "bin", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_ref", "n_cur")])
 
 
 def drift_trend(reference: DataFrame, readings: DataFrame, bins: int = 10, every: str = "1 day") -> DataFrame:
@@ -358,26 +362,12 @@ def drift_trend(reference: DataFrame, readings: DataFrame, bins: int = 10, every
     reduced to a few bins before it meets the reference, so the number of
     windows may grow without multiplying the reference.
     """
-    ref_counts = (
-        unpivot_features(reference, categorical=[])
-        .where(F.col("value").isNotNull())
-        .groupBy("f", "value")
-        .agg(F.count("*").alias("n_ref"))
-    )
-    ref_counts = materialise(name_features(ref_counts, categorical=[]), "reference-counts")
-    ranges = F.broadcast(reference_ranges(ref_counts))  # one row per feature
-
-    def binned(frame: DataFrame, n: Column, *keys: Column) -> DataFrame:
-        return frame.join(ranges, "feature").groupBy(
-            *keys, "feature", bin_number(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin")
-        ).agg(F.sum(n).alias("n"))
-
-    ref_bins = binned(ref_counts, F.col("n_ref")).groupBy("feature").agg(
+    ranges = feature_ranges(reference)  # one row per feature
+    ref_bins = binned_rows(reference, ranges, bins, "n").groupBy("feature").agg(
         F.sum("n").alias("big_r"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("ref_bins")
     )
-    rows = unpivot_features(readings, "timestamp", categorical=[]).where(F.col("value").isNotNull())
-    rows = name_features(rows, categorical=[])
-    per_window = binned(rows, F.lit(1), F.window("timestamp", every)["start"].alias("window_start"))
+    start = F.window("timestamp", every)["start"].alias("window_start")
+    per_window = binned_rows(readings, ranges, bins, "n", start, keep=("timestamp",))
     per_window = per_window.groupBy("window_start", "feature").agg(
         F.sum("n").alias("big_c"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("cur_bins")
     )

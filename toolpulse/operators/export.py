@@ -12,7 +12,7 @@ from toolpulse.functions.labels import failure_flags
 from toolpulse.functions.text import product_id
 from toolpulse.operators.ranking import row_numbers
 from toolpulse.sources import readers, writers
-from toolpulse.sources.durable import materialise, new_path
+from toolpulse.sources.durable import materialise
 
 # The stored training rows remember the reading they came from.
 SOURCE_ID = "source_id"
@@ -117,30 +117,32 @@ class TrainingStore:
 
 @dataclass
 class ReadingsStore:
-    """The readings log. A purge writes a new snapshot and moves the pointer to it."""
+    """The readings log, in one folder that never moves, and the ids purged from it beside it.
+
+    A purge only adds to the purged ids, so rows that arrive meanwhile, and
+    writers with a fixed sink, are not touched. Readers leave purged ids out.
+    """
 
     spark: SparkSession
     path: str
-    pointers: str
-
-    def current_path(self) -> str:
-        return writers.current_snapshot(self.spark, self.pointers, self.path)
+    purged: str
 
     def rows(self) -> DataFrame:
-        log = self.spark.read.schema(S.READINGS_SCHEMA).option("recursiveFileLookup", True)
-        return log.parquet(self.current_path())
+        log = self.spark.read.schema(S.READINGS_SCHEMA).option("recursiveFileLookup", True).parquet(self.path)
+        if not writers.table_exists(self.spark, self.purged):
+            return log
+        return not_exported(log, self.spark.read.schema("id long").parquet(self.purged))
 
     def purge(self, exported_ids: DataFrame) -> int:
-        """Drop exactly the given ids; returns how many rows went."""
-        before = self.rows()
-        first, last = before.agg(F.min("id"), F.max("id")).first()
+        """Drop exactly the given ids; returns how many rows went. Repeating it drops nothing more."""
+        present = self.rows().select("id")
+        first, last = present.agg(F.min("id"), F.max("id")).first()
         if first is None:
             return 0
-        exported_ids = exported_ids.where(F.col("id").between(first, last))
-        snapshot = new_path(self.spark, "readings-snapshot")
-        not_exported(before, exported_ids).write.parquet(snapshot)
-        writers.point_to_snapshot(self.spark, self.pointers, snapshot)
-        return before.count() - self.rows().count()
+        gone = already_exported(present, exported_ids.where(F.col("id").between(first, last)))
+        gone = materialise(gone, "purged")
+        writers.append_table(gone, self.purged)
+        return gone.count()
 
 
 def export_readings(
@@ -153,7 +155,8 @@ def export_readings(
     """Export readings not exported before; returns the rows.
 
     The training rows carry the reading id, so a run after a crash, or a second
-    run on the same readings, adds nothing twice. A purge comes last.
+    run on the same readings, adds nothing twice. A purge comes last,
+    also when nothing is new, and so makes up for one that a crash prevented.
     """
     rows = readers.readings_since(readings.rows(), since)
     start = 1
@@ -164,9 +167,10 @@ def export_readings(
             rows = not_exported(rows, training.exported_ids().where(F.col("id").between(first, last)))
         start = next_udi(training.rows()).first()["next_udi"]
     exported = materialise(build_export(rows, start), "export")
-    if dry_run or exported.isEmpty():
+    if dry_run:
         return exported
-    training.append(exported)
-    if purge:
+    if not exported.isEmpty():
+        training.append(exported)
+    if purge and training.exists():
         readings.purge(training.exported_ids())
     return exported

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from toolpulse import schemas as S
-from toolpulse.operators.ranking import ROWS_PER_RANGE, literal_range, range_edges
+from toolpulse.operators.ranking import ROWS_PER_RANGE, in_ranges
 
 
 def expected_and_observed(readings: DataFrame, n_readings: Column) -> DataFrame:
@@ -26,13 +26,12 @@ def tool_cycles(readings: DataFrame, order: str = "id", rows_per_range: int = RO
     what a range has to know of the earlier ones is their last wear and their
     number of replacements, one small row per machine and range.
     """
-    part = literal_range(order, range_edges(readings, order, rows_per_range))
     wear = F.col("tool_wear_minutes")
+    needed = readings.select("machine_id", order, "tool_wear_minutes", "injected_failure")
 
     inside = Window.partitionBy("machine_id", "__range").orderBy(order)
-    rows = readings.select(
-        "machine_id", order, "tool_wear_minutes", "injected_failure", part.alias("__range")
-    ).withColumn("__reset", F.coalesce((wear < F.lag(wear).over(inside)).cast("int"), F.lit(0)))
+    rows = in_ranges(needed, order, rows_per_range=rows_per_range)
+    rows = rows.withColumn("__reset", F.coalesce((wear < F.lag(wear).over(inside)).cast("int"), F.lit(0)))
     rows = rows.withColumn(
         "__local", F.sum("__reset").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from toolpulse import schemas as S
-from toolpulse.operators.ranking import prefix_sums
+from toolpulse.operators.ranking import prefix_sums, row_numbers
 from toolpulse.sources.durable import materialise
 
 
@@ -97,7 +97,7 @@ def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
         .withColumn("all", F.lit("all"))
     )
-    running = prefix_sums(materialise(counts, "score-counts"), "all", ["all"], "score", ["neg"])
+    running = prefix_sums(materialise(counts, "score-counts"), "all", "score", ["neg"])
     below = F.col("cum_neg") - F.col("neg")
     area = F.sum(F.col("pos") * (below + F.col("neg") / 2))
     return running.agg(F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))
@@ -174,5 +174,4 @@ def scaling_moments(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def vocabulary(df: DataFrame, column: str) -> DataFrame:
     """Distinct categories in order, with their position."""
-    names = df.select(column).distinct().agg(F.array_sort(F.collect_list(column)).alias("names"))
-    return names.select(F.posexplode("names").alias("position", column))
+    return row_numbers(df.select(column).distinct(), column, "position", start=0).withColumn("position", F.col("position").cast("int"))

@@ -1,10 +1,10 @@
 """Running sums, row numbers and order-statistic cuts that spread over many tasks.
 
 A window without a partition key, or with one value holding most rows, sorts
-everything in one task. Here the order column is cut into ranges first: each
-range is its own window partition and the totals of the earlier ranges are
-added from a small table. Range edges and totals go into the plan as literals
-or as a table of bounded size, so a recomputed task sees the same ranges.
+everything in one task. Here rows are dealt out by ranges of the order column
+and written once with the number of their range; each range is its own window
+partition and gets the totals of the earlier ranges, one small row per range.
+Being written, a recomputed task sees the same ranges. Every size takes this path.
 """
 
 import math
@@ -13,83 +13,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from toolpulse.sources.durable import materialise
+
 ROWS_PER_RANGE = 200_000
-MAX_RANGES = 16_384
-EDGE_BLOCK = 128
-# A sort in one task is fine up to here.
+# Rows beyond the wanted ones that a cut-off may leave for the last sort.
 FEW_ROWS = 1_000_000
 HISTOGRAM_BINS = 1024
 
 
-def range_count(rows: int, rows_per_range: int) -> int:
-    return max(1, min(MAX_RANGES, math.ceil(rows / rows_per_range)))
-
-
-def _cuts(ranges: int) -> tuple[list[float], int]:
-    """Fractions that cut a column into ``ranges`` and the accuracy to find them with."""
-    return [i / ranges for i in range(1, ranges)], max(10_000, 10 * ranges)
-
-
-def blocks_of(edges: list) -> list[list]:
-    """Sorted edges in blocks, so that a row is placed in two short searches."""
-    edges = sorted(set(edges))
-    return [edges[i : i + EDGE_BLOCK] for i in range(0, len(edges), EDGE_BLOCK)]
-
+def in_ranges(df: DataFrame, *order: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """The rows written in ranges of ``order``, with ``__range`` growing in that order.
 
-def range_of(value: Column, blocks: Column) -> Column:
-    """Number of edges below ``value``; equal values always share a range."""
-    full = F.size(F.filter(blocks, lambda block: F.element_at(block, -1) < value))
-    rest = F.filter(F.coalesce(F.get(blocks, full), F.array()), lambda edge: edge < value)
-    return full * EDGE_BLOCK + F.size(rest)
+    Equal order values share a range.
+    """
+    ranges = max(1, math.ceil(df.count() / rows_per_range))
+    return materialise(df.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id()), "ranges")
 
 
 def prefix_sums(
-    df: DataFrame,
-    key: str,
-    keys: list,
-    order: str,
-    sums: list[str],
-    lead: bool = False,
-    rows: dict | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    df: DataFrame, key: str, order: str, sums: list[str], lead: bool = False, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Running totals of ``sums`` up to and including each row, per ``key``.
 
     ``df`` holds one row per (key, order value), so pre-aggregate first, and
-    should be cheap to scan again (a materialised table). ``keys`` are the key
-    values, a list known from the schema; it bounds the edge and total tables
-    by ``len(keys) * MAX_RANGES`` rows. ``rows`` gives the rows per key if they
-    are known already. Adds ``cum_<column>`` and, with
-    ``lead``, ``next_<order>``.
+    should be cheap to scan again (a materialised table). Any number of keys is
+    taken, whatever their sizes. Adds ``cum_<column>`` and, with ``lead``,
+    ``next_<order>``.
     """
-    spark = df.sparkSession
-    if rows is None:
-        rows = {r[key]: r["count"] for r in df.groupBy(key).count().collect()}
-    ranges = {name: range_count(n, rows_per_range) for name, n in rows.items() if name in keys}
-    blocks = {name: [] for name in ranges}
-    finest = max(ranges.values(), default=1)
-    if finest > 1:
-        cuts, accuracy = _cuts(finest)
-        for row in df.groupBy(key).agg(F.percentile_approx(order, cuts, accuracy).alias("edges")).collect():
-            step = finest / ranges[row[key]]
-            blocks[row[key]] = blocks_of([row["edges"][round(i * step) - 1] for i in range(1, ranges[row[key]])])
-
-    def accumulate(frame: DataFrame, *partition: str) -> DataFrame:
-        window = Window.partitionBy(*partition).orderBy(order)
-        running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = frame.withColumns({f"cum_{c}": F.sum(c).over(running) for c in sums})
-        return out.withColumn(f"next_{order}", F.lead(order).over(window)) if lead else out
-
-    if not any(blocks.values()):
-        return accumulate(df, key)
-
-    order_type = df.schema[order].dataType
-    table = spark.createDataFrame(
-        list(blocks.items()),
-        f"{key} {df.schema[key].dataType.simpleString()}, __edges array<array<{order_type.simpleString()}>>",
-    )
-    ranged = df.join(F.broadcast(table), key).withColumn("__range", range_of(F.col(order), F.col("__edges")))
-    ranged = ranged.drop("__edges")
+    ranged = in_ranges(df, key, order, rows_per_range=rows_per_range)
     totals = ranged.groupBy(key, "__range").agg(
         *[F.sum(c).alias(f"__t_{c}") for c in sums], F.min(order).alias("__first")
     )
@@ -101,43 +52,29 @@ def prefix_sums(
         *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{c}") for c in sums],
         F.lead("__first").over(by_range).alias("__next_first"),
     )
-    out = accumulate(ranged, key, "__range").join(F.broadcast(offsets), [key, "__range"])
-    out = out.withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.col(f"__o_{c}") for c in sums})
+    window = Window.partitionBy(key, "__range").orderBy(order)
+    running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = ranged.join(offsets, [key, "__range"])
+    out = out.withColumns({f"cum_{c}": F.sum(c).over(running) + F.col(f"__o_{c}") for c in sums})
     if lead:
-        out = out.withColumn(f"next_{order}", F.coalesce(f"next_{order}", "__next_first"))
+        out = out.withColumn(f"next_{order}", F.coalesce(F.lead(order).over(window), "__next_first"))
     return out.drop("__range", "__next_first", *[f"__o_{c}" for c in sums])
 
 
-def range_edges(df: DataFrame, order: str, rows_per_range: int = ROWS_PER_RANGE) -> list[list]:
-    """Cut points, in blocks, that spread a numeric column over ranges; empty for few rows."""
-    ranges = range_count(df.count(), rows_per_range)
-    if ranges == 1:
-        return []
-    cuts, accuracy = _cuts(ranges)
-    return blocks_of(df.agg(F.percentile_approx(order, cuts, accuracy)).first()[0])
-
-
-def literal_range(order: str, blocks: list[list]) -> Column:
-    if not blocks:
-        return F.lit(0)
-    return range_of(F.col(order), F.array(*[F.lit(block) for block in blocks]))
-
-
 def newest_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """The ``n`` greatest rows by ``order`` (numbers or timestamps; the last one unique).
+    """The ``n`` greatest rows by ``order`` (numbers or timestamps; the last one unique); nulls come last.
 
     A top-k over many input partitions sends k rows of each to one task. So a
     cut-off is found first, by counting rows in ever narrower bins, and only
     the rows beyond it, at most about a million more than ``n``, are sorted.
     """
-    kept = df
-    if df.count() > max(n, FEW_ROWS):
-        kept = df.where(_beyond_cut_off(df, n, list(order)))
-    return kept.orderBy(*[F.desc(c) for c in order]).limit(n)
+    return df.where(_beyond_cut_off(df, n, list(order))).orderBy(*[F.desc_nulls_last(c) for c in order]).limit(n)
 
 
 def _beyond_cut_off(df: DataFrame, n: int, order: list[str]) -> Column:
-    """A condition that keeps the top ``n`` rows and at most ``FEW_ROWS`` others."""
+    """A condition that keeps the top ``n`` rows and at most ``FEW_ROWS`` others, unless they tie in all of ``order``."""
+    if not order:
+        return F.lit(True)
     name = order[0]
     is_time = df.schema[name].dataType.typeName().startswith("timestamp")
     number = F.unix_micros(name) if is_time else F.col(name)
@@ -145,7 +82,12 @@ def _beyond_cut_off(df: DataFrame, n: int, order: list[str]) -> Column:
     def literal(value: int) -> Column:
         return F.timestamp_micros(F.lit(value)) if is_time else F.lit(value)
 
-    low, high = df.agg(F.min(number), F.max(number)).first()
+    rows, filled, low, high = df.agg(F.count(F.lit(1)), F.count(name), F.min(number), F.max(number)).first()
+    if rows <= n + FEW_ROWS:
+        return F.lit(True)
+    if filled <= n:  # all of these, and the best of the nulls by the next column
+        null = F.col(name).isNull()
+        return ~null | _beyond_cut_off(df.where(null), n - filled, order[1:])
     while True:
         width = max(1, -(-(high - low + 1) // HISTOGRAM_BINS))
         inside = F.col(name).between(literal(low), literal(high))
@@ -159,31 +101,24 @@ def _beyond_cut_off(df: DataFrame, n: int, order: list[str]) -> Column:
         if sizes[b] <= FEW_ROWS:
             return F.col(name) >= literal(low)
         if width == 1:  # one value holds the crowd: go on with the next column
-            same = df.where(F.col(name) == literal(low))
-            rest = _beyond_cut_off(same, n, order[1:]) if order[1:] else F.lit(True)
-            return (F.col(name) > literal(low)) | ((F.col(name) == literal(low)) & rest)
+            same = F.col(name) == literal(low)
+            return (F.col(name) > literal(low)) | (same & _beyond_cut_off(df.where(same), n, order[1:]))
 
 
 def row_numbers(
     df: DataFrame, order: str, name: str, start: int = 1, by: str | None = None, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """Consecutive numbers from ``start`` in the order of a unique numeric column, per ``by`` if given."""
-    blocks = range_edges(df, order, rows_per_range)
+    """Consecutive numbers from ``start`` in the order of a unique column, per ``by`` if given."""
     keys = [by] if by else []
-    if not blocks:
-        window = Window.partitionBy(*keys).orderBy(order)
-        return df.withColumn(name, (F.row_number().over(window) + F.lit(start - 1)).cast("long"))
-    ranged = df.withColumn("__range", literal_range(order, blocks))
+    ranged = in_ranges(df, *keys, order, rows_per_range=rows_per_range)
     sizes = ranged.groupBy(*keys, "__range").count()
+    # One row per range and key: a thousandth of a percent of the rows at most.
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"))
+    offsets = sizes.select(*keys, "__range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
     window = Window.partitionBy(*keys, "__range").orderBy(order)
-    numbered = ranged.withColumn("__place", F.row_number().over(window))
-    if not by:  # at most MAX_RANGES rows
-        offsets = F.broadcast(offsets)
-    joined = numbered.join(offsets, [*keys, "__range"])
-    value = (F.col("__place") + F.col("__offset") + (start - 1)).cast("long")
-    return joined.withColumn(name, value).drop("__range", "__place", "__offset")
+    joined = ranged.withColumn("__place", F.row_number().over(window)).join(offsets, [*keys, "__range"])
+    value = (F.col("__place") + F.col("__before") + (start - 1)).cast("long")
+    return joined.withColumn(name, value).drop("__range", "__place", "__before")
 
 
 def hash_cuts(df: DataFrame, group: str, digest: str, wanted) -> dict[object, list[str | None]]:

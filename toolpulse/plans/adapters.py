@@ -70,12 +70,11 @@ def _numbered_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = baseline_keys(spark, sf_dir).groupBy("k").agg(F.count("*").alias("n")).withColumn("side", F.lit("baseline"))
     counts = materialise(counts, "baseline-keys")
     chunks = (
-        prefix_sums(counts, "side", ["baseline"], "k", ["n"])
+        prefix_sums(counts, "side", "k", ["n"])
         .select("k", "n", (F.col("cum_n") - F.col("n")).alias("before"))
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / EXPAND_CHUNK))))
     )
-    if counts.agg(F.max("n")).first()[0] > EXPAND_CHUNK:
-        chunks = chunks.repartition("k", "chunk")
+    chunks = chunks.repartition("k", "chunk")
     first = F.col("chunk") * EXPAND_CHUNK
     last = F.least(F.col("n"), first + EXPAND_CHUNK) - 1
     rows = chunks.select("k", "before", F.explode(F.sequence(first, last)).alias("at"))

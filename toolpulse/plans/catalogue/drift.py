@@ -22,8 +22,8 @@ def stable(spark, sf):
     return current_sample(A.stable_readings(spark, sf), limit=None)
 
 
-def counts(spark, sf, current=everything):
-    return materialise(D.value_counts(reference(spark, sf), current(spark, sf)), "value-counts")
+def counts(spark, sf, current=everything, **features):
+    return materialise(D.value_counts(reference(spark, sf), current(spark, sf), **features), "value-counts")
 
 
 KS_P = """CASE WHEN lam < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0, (SELECT 2 * sum((CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END)
@@ -51,7 +51,7 @@ def d1(spark, sf):
     ),
 )
 def d2(spark, sf):
-    stats = D.feature_statistics(counts(spark, sf)).where("NOT is_numeric")
+    stats = D.feature_statistics(counts(spark, sf, numeric=[])).where("NOT is_numeric")
     return stats.select(
         "feature", F.round("chi_square", 6).alias("chi_square"), F.round("chi_square_p", 6).alias("chi_square_p")
     )
@@ -67,7 +67,7 @@ def d3(spark, sf):
 
 @query("d4_jensen_shannon", Q.with_both("SELECT feature, round(js, 6) AS jensen_shannon FROM ts", Q.type_stats()))
 def d4(spark, sf):
-    stats = D.categorical_statistics(counts(spark, sf))
+    stats = D.categorical_statistics(counts(spark, sf, numeric=[]))
     return stats.select("feature", F.round("jensen_shannon", 6).alias("jensen_shannon"))
 
 

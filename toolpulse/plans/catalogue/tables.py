@@ -94,21 +94,21 @@ def s8(spark, sf):
     return log_row(readers.readings_log(spark, path))
 
 
-@query("s9_clear_readings", Q.with_readings("SELECT id FROM readings WHERE predicted_failure = 1"))
+@query("s9_clear_readings", Q.with_readings("SELECT id FROM readings"))
 def s9(spark, sf):
     """Rows appended after a clear are the only ones left."""
     path = new_path(spark, "log")
     log = A.readings(spark, sf)
     writers.append_readings(log, path)
     writers.clear_readings(spark, path)
-    writers.append_readings(log.where("predicted_failure = 1"), path)
+    writers.append_readings(log, path)
     return readers.readings_log(spark, path).select("id")
 
 
-@query("s10_write_training", Q.with_training(f"SELECT {CLEAN} FROM training WHERE machine_failure = 1"))
+@query("s10_write_training", Q.with_training(f"SELECT {CLEAN} FROM training"))
 def s10(spark, sf):
     path = new_path(spark, "training")
-    writers.write_table(to_raw_names(A.training(spark, sf).where("machine_failure = 1")), path)
+    writers.write_table(to_raw_names(A.training(spark, sf)), path)
     return readers.training_table(spark, path)
 
 
@@ -291,7 +291,7 @@ BEFORE_SQL = """before AS (SELECT id FROM readings WHERE "timestamp" <= TIMESTAM
 @query("j3_purge_by_id", Q.with_readings("SELECT id FROM readings WHERE id NOT IN (SELECT id FROM before)", BEFORE_SQL))
 def j3(spark, sf):
     root = new_path(spark, "purge")
-    store = export.ReadingsStore(spark, A.readings_path(spark, sf), f"{root}/pointers")
+    store = export.ReadingsStore(spark, A.readings_path(spark, sf), f"{root}/purged")
     store.purge(exported_before(spark, sf))
     return store.rows().select("id")
 
@@ -348,10 +348,9 @@ def w3(spark, sf):
     return readers.training_window(A.training(spark, sf))
 
 
-@query("w4_consecutive_udi", Q.with_readings("SELECT id, 70000 + row_number() OVER (ORDER BY id) AS udi FROM readings WHERE injected_failure = 1"))
+@query("w4_consecutive_udi", Q.with_readings("SELECT id, 70000 + row_number() OVER (ORDER BY id) AS udi FROM readings"))
 def w4(spark, sf):
-    log = A.readings(spark, sf).where("injected_failure = 1").select("id")
-    return row_numbers(log, "id", "udi", start=70001)
+    return row_numbers(A.readings(spark, sf).select("id"), "id", "udi", start=70001)
 
 
 @query(
@@ -449,13 +448,20 @@ def u2(spark, sf):
 # --- export jobs ----------------------------------------------------------------------------
 
 
-@query("e1_export_job", Q.with_both(f"SELECT {CLEAN} FROM training UNION ALL SELECT {CLEAN} FROM exported", EXPORT_SQL))
+@query(
+    "e1_export_job",
+    Q.with_both(
+        f"""SELECT *, (SELECT count(*) FROM readings) - (SELECT count(*) FROM exported) AS remaining_readings
+        FROM (SELECT {CLEAN} FROM training UNION ALL SELECT {CLEAN} FROM exported)""",
+        EXPORT_SQL,
+    ),
+)
 def e1(spark, sf):
-    """Export and purge, then once more: the second run finds nothing new."""
+    """Export and purge, then once more: the second run finds nothing new. The rows left in the log go with each row."""
     space = _fresh_space(spark, sf)
-    jobs.export_readings(space.readings, space.training)
     jobs.export_readings(space.readings, space.training, purge=True)
-    return space.training.training()
+    jobs.export_readings(space.readings, space.training, purge=True)
+    return space.training.training().withColumn("remaining_readings", F.lit(space.readings.rows().count()))
 
 
 @query(

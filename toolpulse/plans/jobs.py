@@ -23,7 +23,7 @@ class Workspace:
 
     @property
     def readings(self) -> ReadingsStore:
-        return ReadingsStore(self.spark, f"{self.root}/readings", f"{self.root}/readings-pointers")
+        return ReadingsStore(self.spark, f"{self.root}/readings", f"{self.root}/readings-purged")
 
     @property
     def training(self) -> TrainingStore:

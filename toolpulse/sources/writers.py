@@ -1,4 +1,4 @@
-"""Append-only sinks, snapshots behind a pointer table, logs and triggers."""
+"""Append-only sinks, logs and triggers."""
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -8,7 +8,6 @@ from toolpulse import schemas as S
 from toolpulse.functions.text import iso_utc, metrics_report
 
 TRIGGER_SCHEMA = T.StructType([T.StructField("line", T.StringType(), False)])
-POINTER_SCHEMA = T.StructType([T.StructField("seq", T.LongType(), False), T.StructField("path", T.StringType(), False)])
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -80,18 +79,3 @@ def append_retrain_trigger(spark: SparkSession, path: str) -> None:
 def write_metrics_report(metrics: DataFrame, path: str) -> None:
     """The report as one small text file, lines in order."""
     metrics_report(metrics).orderBy("line_no").select("line").coalesce(1).write.mode("overwrite").text(path)
-
-
-def point_to_snapshot(spark: SparkSession, pointers: str, path: str) -> None:
-    """Make ``path`` the current snapshot. The pointer table holds one row per snapshot taken."""
-    seq = 0
-    if table_exists(spark, pointers):
-        seq = spark.read.schema(POINTER_SCHEMA).json(pointers).agg(F.max("seq")).first()[0] + 1
-    spark.createDataFrame([(seq, path)], POINTER_SCHEMA).write.mode("append").json(pointers)
-
-
-def current_snapshot(spark: SparkSession, pointers: str, default: str) -> str:
-    if not table_exists(spark, pointers):
-        return default
-    newest = spark.read.schema(POINTER_SCHEMA).json(pointers).agg(F.max_by("path", "seq")).first()
-    return newest[0] or default

@@ -32,7 +32,7 @@ def watch_drift(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         arrived = writers.checked_not_null(batch, S.READINGS_SCHEMA)
-        arrived.write.mode("overwrite").parquet(f"{space.readings.current_path()}/batch={batch_id}")
+        arrived.write.mode("overwrite").parquet(f"{space.readings.path}/batch={batch_id}")
         result = check_drift(space, reference, limit=limit, purge=purge)
         if report is not None:
             report(batch_id, result)
