@@ -112,7 +112,7 @@ def test_linked_sets_share_a_segment():
     """At every size, sets that differ as much as a link allows agree in a key."""
     rnd = np.random.default_rng(1)
     for similarity in (Similarity(5, 80), Similarity(3, 90)):
-        for size in list(range(5, 60)) + [200, 1000, 3000]:
+        for size in list(range(5, 60)) + [200, 500, 1000, 3000]:
             tokens = rnd.integers(0, 2**63, 3 * size, dtype=np.uint64)
             x = np.unique(tokens[:size])
             for y_size in (size, int(size / 0.95), 100 * size // similarity.percent):

@@ -2,9 +2,11 @@
 
 1. Every document becomes a sorted set of hashed shingles. Documents of equal
    sets are one class from here on.
-2. A set is cut into as many segments of the hash range as the two sets of a link
-   can differ in, and some more, so linked sets agree in a whole segment. Only
-   classes that share a segment with another class go on (candidates).
+2. A set is cut into segments of the hash range, so many that linked sets agree
+   in whole segments. Only classes that share a segment with another class go on
+   (candidates). Small sets announce one segment more than a link can differ in;
+   of large ones a fixed part of the range is enough: a link at the very
+   threshold then has no common segment with probability ``MISS`` at most.
 3. Shingles get a global order, rarest first. A class with so many shingles of
    its own that no link is possible leaves. Each remaining class is compared
    with the most central class that it shares most segments with; those that
@@ -16,8 +18,8 @@
    token union bounds its overlap with every member, and only beyond that bound
    are the members' own overlaps counted. One link found joins two groups.
 
-Steps 2 to 5 lose no link between different groups, and inside a group all are
-connected already, so the components are exact.
+Steps 3 to 5 are exact: no link between different groups is lost, and inside a
+group all are connected already.
 """
 
 import math
@@ -36,6 +38,8 @@ from toolpulse.llm.embedding_dups import _runs as runs
 from toolpulse.sources.durable import materialise
 
 BLOCK_TOKENS = 100_000
+MISS = 1e-10
+LEAST_PER_SEGMENT = 3  # shingles; fewer tell little
 CLASS = ["fp1", "fp2"]
 
 
@@ -62,16 +66,20 @@ class Similarity:
             low = ends[-1] + 1
         return np.array(ends)
 
-    def segments(self, size_class: int) -> tuple[int, int]:
-        """Segments of a size range, and how many empty ones a set may have without announcing them."""
+    def segments(self, size_class: int) -> tuple[int, int, int]:
+        """Segments of a size range, how many of them are used, and how many empty ones a set may leave out."""
         high = int(self.size_classes[size_class])
         low = int(self.size_classes[size_class - 1]) + 1 if size_class else 1
         most_different = 2 * high * (100 - self.percent) // (100 + self.percent)
         if most_different == 0:
-            return 1, 0
+            return 1, 1, 0
         expected = (most_different + 1) * math.exp(-low / (most_different + 1))
         spare = math.ceil(expected + 4 * math.sqrt(expected)) + 1
-        return most_different + 1 + spare, spare
+        all_of = most_different + 1 + spare
+        count = min(2 * most_different, max(most_different, low // LEAST_PER_SEGMENT))
+        alike = (1 - 1 / count) ** most_different - (1 - 1 / count) ** low if count > 1 else 0
+        used = math.ceil(math.log(MISS) / math.log(1 - alike)) if 0 < alike < 1 else all_of
+        return (count, used, used) if used < min(count, all_of) else (all_of, all_of, spare)
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
@@ -91,18 +99,18 @@ _bounds: dict[int, np.ndarray] = {}
 
 
 def segment_keys(tokens: np.ndarray, similarity: Similarity) -> np.ndarray:
-    """Keys of a set's segments; linked different sets share one at least."""
+    """Keys of a set's segments; linked different sets share one."""
     out = []
     mixed = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mix(tokens + np.uint64(1)), dtype=np.uint64)])
     own = int(np.searchsorted(similarity.size_classes, len(tokens)))
     for size_class in (own, own + 1):
-        count, spare = similarity.segments(size_class)
+        count, used, spare = similarity.segments(size_class)
         if count == 1:
             continue  # only equal sets link
         if count not in _bounds:
             _bounds[count] = np.array([(i << 64) // count for i in range(1, count)], dtype=np.uint64)
-        cuts = np.concatenate([[0], np.searchsorted(tokens, _bounds[count]), [len(tokens)]])
-        keys = mix((mixed[cuts[1:]] - mixed[cuts[:-1]]) ^ mix(np.arange(count, dtype=np.uint64) + np.uint64(size_class << 32)))
+        cuts = np.concatenate([[0], np.searchsorted(tokens, _bounds[count][:used]), [len(tokens)]])[: used + 1].astype(np.int64)
+        keys = mix((mixed[cuts[1:]] - mixed[cuts[:-1]]) ^ mix(np.arange(used, dtype=np.uint64) + np.uint64(size_class << 32)))
         empty = cuts[1:] == cuts[:-1]
         out.append(keys if empty.sum() > spare else keys[~empty])
     return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
@@ -146,14 +154,16 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
 
 def _ordered(sets: DataFrame, similarity: Similarity) -> DataFrame:
-    """Adds ``own``, the number of shingles no other candidate has, and ``shared``, the others, rarest first."""
+    """rep, n, ``own``, the number of shingles no other candidate has, and ``shared``, the others, rarest first.
+
+    Overlaps with other classes lie in ``shared`` alone.
+    """
     rows = sets.select("rep", "n", F.explode("tokens").alias("token"))
     common = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ranked = salted_join(rows, materialise(common, "shingle-counts"), ["token"], F.col("rep"), "inner")
-    ranked = ranked.groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
-    joined = sets.join(ranked, ["rep", "n"]).withColumn("own", F.col("n") - F.size("shared"))
-    alive = joined.where(100 * (F.col("n") - F.col("own")) >= similarity.percent * F.col("n"))
-    return alive.select("rep", "n", "own", "tokens", F.col("shared.token").alias("shared"))
+    ranked = rows.join(common, "token").groupBy("rep", "n")
+    ranked = ranked.agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
+    alive = ranked.where(100 * F.size("shared") >= similarity.percent * F.col("n"))
+    return alive.select("rep", "n", (F.col("n") - F.size("shared")).alias("own"), F.col("shared.token").alias("shared"))
 
 
 def _overlaps(left: Column, right: Column, total: Column, similarity: Similarity) -> Column:
@@ -165,15 +175,14 @@ def _leader_links(alive: DataFrame, keyed: DataFrame, similarity: Similarity) ->
     """(a, b): links to the class that a class shares most segments with, among the most central ones of those."""
     rows = keyed.join(alive.select("rep", "own"), "rep")
     central = rows.groupBy("key").agg(F.min(F.struct("own", "rep")).alias("leader"))
-    near = salted_join(rows, central, ["key"], F.col("rep"), "inner").where(F.col("leader.rep") != F.col("rep"))
+    near = rows.join(central, "key").where(F.col("leader.rep") != F.col("rep"))
     counted = near.groupBy("rep", "leader").agg(F.count(F.lit(1)).alias("n"))
     best = counted.groupBy("rep").agg(F.max(F.struct("n", -F.col("leader.own"), F.col("leader.rep").alias("leader"))).alias("best"))
-    pairs = alive.select("rep", "n", "tokens").join(best.select("rep", F.col("best.leader").alias("leader")), "rep")
-    leaders = alive.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n"), F.col("tokens").alias("leader_tokens"))
+    pairs = alive.select("rep", "n", "shared").join(best.select("rep", F.col("best.leader").alias("leader")), "rep")
+    leaders = alive.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n"), F.col("shared").alias("leader_shared"))
     leaders = leaders.join(best.select(F.col("best.leader").alias("leader")).distinct(), "leader", "left_semi")
-    both = salted_join(pairs, leaders, ["leader"], F.col("rep"), "inner")
-    linked = _overlaps(F.col("tokens"), F.col("leader_tokens"), F.col("n") + F.col("leader_n"), similarity)
-    return both.where(linked).select(F.col("rep").alias("a"), F.col("leader").alias("b"))
+    linked = _overlaps(F.col("shared"), F.col("leader_shared"), F.col("n") + F.col("leader_n"), similarity)
+    return pairs.join(leaders, "leader").where(linked).select(F.col("rep").alias("a"), F.col("leader").alias("b"))
 
 
 def _qualifying(grouped: DataFrame, similarity: Similarity) -> DataFrame:
@@ -184,8 +193,6 @@ def _qualifying(grouped: DataFrame, similarity: Similarity) -> DataFrame:
     )
     matrix = rows.groupBy("token", "group", "n").agg(F.max(F.col("n") - F.col("own") - F.col("at")).alias("room"))
     matrix = materialise(matrix, "token-group-matrix")
-    several = matrix.groupBy("token").agg((F.min("group") < F.max("group")).alias("several")).where("several").select("token")
-    matrix = materialise(salted_join(matrix, several, ["token"], F.col("group"), "left_semi"), "token-group-matrix")
     left, right = (matrix.select("token", *[F.col(c).alias(f"{c}{i}") for c in ("group", "n", "room")]) for i in (1, 2))
     fits = F.expr(
         f"group1 < group2 AND least(room1, room2) >= {similarity.least_overlap_sql('n1 + n2')}"
@@ -196,7 +203,7 @@ def _qualifying(grouped: DataFrame, similarity: Similarity) -> DataFrame:
 
 def _opened_links(grouped: DataFrame, pairs: DataFrame, similarity: Similarity) -> DataFrame:
     """(a, b): one link, if there is any, for every pair of blocks of qualifying groups."""
-    members = grouped.select("group", "n", "rep", "tokens")
+    members = grouped.select("group", "n", "rep", F.col("shared").alias("tokens"))
     sizes = members.groupBy("group", "n").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
     for i in (1, 2):
         named = sizes.select(F.col("group").alias(f"group{i}"), F.col("n").alias(f"n{i}"), F.col("blocks").alias(f"blocks{i}"))
@@ -236,7 +243,7 @@ def _first_link(run: pa.Table, similarity: Similarity) -> tuple[int, int] | None
     order = np.argsort(tokens, kind="stable")
     tokens, holder = tokens[order], holder[order]
     union = np.unique(tokens)
-    needed = similarity.least_overlap(len(sets[queries[0]]) + len(sets[members[0]]))
+    needed = similarity.least_overlap(sum(run.column(c)[0].as_py() for c in ("n1", "n2")))
     for q in queries:
         at = np.searchsorted(union, sets[q])
         hit = sets[q][(at < len(union)) & (union[np.minimum(at, len(union) - 1)] == sets[q])]
@@ -265,23 +272,24 @@ def similar_documents(docs: DataFrame, similarity: Similarity = Similarity()) ->
     classes = materialise(
         filled.groupBy(*CLASS).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("n").alias("n")), "classes"
     )
-    rows = filled.select("fp1", "fp2", F.explode("keys").alias("key"))
+    rows = filled.select("fp1", F.explode("keys").alias("key"))
     # Copies share all keys; a key matters if different sets have it.
     shared = rows.groupBy("key").agg((F.min("fp1") < F.max("fp1")).alias("several")).where("several").select("key")
-    shared = materialise(shared, "shared-segments")
-    keyed = salted_join(rows, shared, ["key"], F.xxhash64("fp2"), "left_semi", salts=4).distinct()
-    keyed = materialise(keyed.join(classes.select(*CLASS, "rep"), CLASS).select("key", "rep"), "segment-rows")
-    wanted = keyed.select("rep").distinct().join(classes.select("rep", "n"), "rep")
+    keyed = rows.join(materialise(shared, "shared-segments"), "key", "left_semi").distinct()
+    keyed = materialise(keyed.join(classes.select("fp1", "rep"), "fp1").select("key", "rep"), "segment-rows")
+    wanted = materialise(keyed.select("rep").distinct().join(classes.select("rep", "n"), "rep"), "candidates")
     sets = materialise(_sets(texts, wanted, similarity.words), "shingle-sets")
     alive = materialise(_ordered(sets, similarity), "ordered-sets")
     links = materialise(_leader_links(alive, keyed, similarity), "leader-links")
     grouped = alive.join(components(links), F.col("rep") == F.col("node"), "left")
-    grouped = materialise(grouped.withColumn("group", F.coalesce("component", "rep")).drop("node", "component"), "groups")
+    grouped = grouped.withColumn("group", F.coalesce("component", "rep")).drop("node", "component")
     opened = materialise(_opened_links(grouped, _qualifying(grouped, similarity), similarity), "opened-links")
     found = components(links.union(opened))
     named = classes.join(found, F.col("rep") == F.col("node"), "left").withColumn("component_id", F.coalesce("component", "rep"))
     named = named.where("copies > 1 OR component_id <> rep").select(*CLASS, "component_id")
-    named = salted_join(marks.drop("keys").withColumn("filled", F.col("n") > 0), named.withColumn("filled", F.lit(True)), [*CLASS, "filled"], F.col("doc_id"))
+    named = named.withColumn("filled", F.lit(True))
+    marks = marks.drop("keys").withColumn("filled", F.col("n") > 0)
+    named = salted_join(marks, named, [*CLASS, "filled"], F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
