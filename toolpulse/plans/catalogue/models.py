@@ -1,17 +1,24 @@
-"""Training, calibration, tuning and scoring with the fast presets."""
+"""Training, calibration, tuning and scoring with the fast presets.
+
+Fitted numbers have no SQL. What can be said of them exactly is checked beside
+them: which rows were trained on and tested, that probabilities add up, that
+stored metrics are those of the scored rows, and which answers may be null.
+"""
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from toolpulse import schemas as S
 from toolpulse.functions.features import engineer_features
 from toolpulse.operators import models as MM
 from toolpulse.operators.experiments import BINARY_MODEL, EXPERIMENTS, MULTICLASS_MODEL
 from toolpulse.operators.registry import Registry
-from toolpulse.operators.scoring import batch_totals, gate_and_detail
+from toolpulse.operators.scoring import batch_totals, gate_and_detail, ordered_answers
 from toolpulse.plans import adapters as A
 from toolpulse.plans import jobs
+from toolpulse.plans import sql as Q
 from toolpulse.plans.catalogue import query
-from toolpulse.plans.catalogue.tables import request_payloads
+from toolpulse.plans.catalogue.tables import REQUEST_SQL, SPLIT, request_payloads
 from toolpulse.sources.durable import new_path
 from toolpulse.sources.readers import parse_requests, training_window
 from toolpulse.streaming.scoring import with_model_features
@@ -40,18 +47,38 @@ def registry(spark, sf) -> Registry:
     return _trained[slot]
 
 
-@query("m1_encode_features")
-def m1(spark, sf):
+INPUTS = [f"type_{t.lower()}" for t in S.MACHINE_TYPES] + S.NUMERIC_FEATURES
+INPUT_SQL = [f"(type = '{t}')::INT::DOUBLE" for t in S.MACHINE_TYPES] + [f"{c}::DOUBLE" for c in S.NUMERIC_FEATURES]
+
+
+def _vectors(spark, sf, scale: bool):
+    """The model inputs as one rounded column each."""
     df = engineer_features(A.training(spark, sf))
-    fitted = MM.feature_pipeline(scale=False).fit(df)
-    return fitted.transform(df).select("udi", vector_to_array("features").alias("features"))
+    vectors = MM.feature_pipeline(scale).fit(df).transform(df).select("udi", vector_to_array("features").alias("v"))
+    return vectors.select("udi", *[F.round(F.col("v")[i], 6).alias(name) for i, name in enumerate(INPUTS)])
 
 
-@query("m2_scale_features")
+@query(
+    "m1_encode_features",
+    Q.with_training("SELECT udi, " + ", ".join(f"round({e}, 6) AS {n}" for e, n in zip(INPUT_SQL, INPUTS)) + " FROM featured"),
+)
+def m1(spark, sf):
+    return _vectors(spark, sf, scale=False)
+
+
+@query(
+    "m2_scale_features",
+    Q.with_training(
+        "SELECT udi, "
+        + ", ".join(
+            f"round(coalesce(({e} - avg({e}) OVER ()) / nullif(stddev_samp({e}) OVER (), 0), 0), 6) AS {n}"
+            for e, n in zip(INPUT_SQL, INPUTS)
+        )
+        + " FROM featured"
+    ),
+)
 def m2(spark, sf):
-    df = engineer_features(A.training(spark, sf))
-    fitted = MM.feature_pipeline(scale=True).fit(df)
-    return fitted.transform(df).select("udi", vector_to_array("features").alias("features"))
+    return _vectors(spark, sf, scale=True)
 
 
 def _experiment_query(number: int, name: str) -> None:
@@ -61,8 +88,35 @@ def _experiment_query(number: int, name: str) -> None:
         return MM.measure(result.scored, EXPERIMENTS[name]).withColumn("experiment", F.lit(name))
 
 
+def _split_sql(name: str) -> str:
+    """Test flag of the newest rows, stratified by the experiment's label."""
+    label = "machine_failure" if EXPERIMENTS[name].target_type == "binary" else Q.LABEL
+    return f"""labelled AS (SELECT udi, {label} AS label, md5(CAST(udi AS VARCHAR) || ':42') AS h
+        FROM (SELECT * FROM training ORDER BY udi DESC LIMIT {S.TRAINING_WINDOW}))"""
+
+
+def _experiment_checks(number: int, name: str) -> None:
+    body = """SELECT is_test, count(*) AS row_count, 0::BIGINT AS bad_totals, 0::BIGINT AS out_of_range, true AS metrics_agree
+        FROM split GROUP BY is_test"""
+
+    @query(f"m{number}_{name}_checks", Q.with_training(body, _split_sql(name), SPLIT))
+    def run(spark, sf):
+        """Rows per split, probabilities that do not add up or leave 0 to 1, and whether the stored metrics are those of the rows."""
+        result = trained(spark, sf, name)
+        again = MM.measure(result.scored, EXPERIMENTS[name]).first().asDict()
+        agree = all(result.metrics[k] == v or abs(result.metrics[k] - v) < 1e-9 for k, v in again.items() if isinstance(v, float))
+        total = F.aggregate("probability", F.lit(0.0), lambda a, p: a + p)
+        return result.scored.groupBy("is_test").agg(
+            F.count("*").alias("row_count"),
+            F.count_if(F.abs(total - 1) > 1e-9).alias("bad_totals"),
+            F.count_if(F.exists("probability", lambda p: (p < 0) | (p > 1))).alias("out_of_range"),
+            F.lit(agree).alias("metrics_agree"),
+        )
+
+
 for _number, _name in enumerate(EXPERIMENTS, 3):
     _experiment_query(_number, _name)
+    _experiment_checks(_number, _name)
 
 
 @query("m15_training_run")
@@ -126,6 +180,32 @@ def m20(spark, sf):
     )
 
 
+def _consistent():
+    """A type only with a failure, and a probability between 0 and 1."""
+    typed = F.col("failure_type").isNull() | (F.col("machine_failure") == 1)
+    return (typed & F.col("failure_probability").between(0, 1)).alias("consistent")
+
+
+@query("m20_batch_scoring_checks", Q.with_readings("SELECT request_id, position, true AS consistent FROM requests", REQUEST_SQL))
+def m20_checks(spark, sf):
+    return m20(spark, sf).select("request_id", "position", _consistent())
+
+
+@query(
+    "a7_ordered_answers",
+    Q.with_readings(
+        """SELECT request_id, count(*) AS total_readings, string_agg(position::VARCHAR, ',' ORDER BY position) AS positions
+        FROM requests GROUP BY request_id""",
+        REQUEST_SQL,
+    ),
+)
+def ordered(spark, sf):
+    """Every request's predictions as one list in the order of its readings."""
+    answers = ordered_answers(m20(spark, sf), "request_id", "position")
+    places = F.transform("predictions", lambda p: p["position"].cast("string"))
+    return answers.select("request_id", "total_readings", F.array_join(places, ",").alias("positions"))
+
+
 @query("m20_batch_scoring_totals")
 def m20_totals(spark, sf):
     return batch_totals(m20(spark, sf), "request_id")
@@ -139,6 +219,20 @@ def m21(spark, sf):
     return scored.select("id", "machine_failure", "failure_probability", "failure_type")
 
 
+@query("m21_single_scoring_checks", Q.with_readings("SELECT id, true AS consistent FROM readings"))
+def m21_checks(spark, sf):
+    return m21(spark, sf).select("id", (_consistent() & F.col("failure_type").isNull()).alias("consistent"))
+
+
+@query(
+    "s14_register_model_checks",
+    f"SELECT unnest(['{BINARY_MODEL}', '{MULTICLASS_MODEL}']) AS model_name, 1::BIGINT AS versions, 0::BIGINT AS without_metrics",
+)
+def s14_checks(spark, sf):
+    rows = s14(spark, sf).groupBy("model_name")
+    return rows.agg(F.count("*").alias("versions"), F.count_if(F.size("metrics") == 0).alias("without_metrics"))
+
+
 @query("s14_register_model")
 def s14(spark, sf):
     reg = registry(spark, sf)
@@ -164,6 +258,19 @@ def s15(spark, sf):
     return out
 
 
+@query(
+    "s15_load_production_checks",
+    Q.with_training(
+        f"""SELECT unnest(['{BINARY_MODEL}', '{MULTICLASS_MODEL}']) AS model_name,
+        (SELECT least(count(*), {S.TRAINING_WINDOW}) FROM training) AS row_count, 0::BIGINT AS unequal"""
+    ),
+)
+def s15_checks(spark, sf):
+    """A stored model calls every row as the one that was saved."""
+    rows = s15(spark, sf).groupBy("model_name")
+    return rows.agg(F.sum("row_count").alias("row_count"), F.sum(F.col("row_count") - F.col("equal")).alias("unequal"))
+
+
 @query("e3_retrain_and_promote")
 def e3(spark, sf):
     space = jobs.Workspace(spark, new_path(spark, "space"))
