@@ -105,11 +105,15 @@ def margin(p: dict, rows: int):
 
 
 def perceptron(p: dict, rows: int):
-    """Sigmoid hidden layers; Spark's network has no activation choice, penalty or early stop."""
+    """Sigmoid hidden layers; Spark's network has no activation choice, penalty or early stop.
+
+    A learning rate means gradient descent; the default solver has none.
+    """
     hidden = [int(w) for w in str(p["hidden"]).split("_")]
-    return MultilayerPerceptronClassifier(
-        layers=[p["inputs"], *hidden, p["outputs"]], maxIter=p["iterations"], stepSize=p.get("rate", 0.03), seed=SEED
+    network = MultilayerPerceptronClassifier(
+        layers=[p["inputs"], *hidden, p["outputs"]], maxIter=p["iterations"], seed=SEED
     )
+    return network.setSolver("gd").setStepSize(p["rate"]) if "rate" in p else network
 
 
 # Tuned and default parameters and search ranges of each experiment.

@@ -169,13 +169,24 @@ def weight_column(experiment: Experiment, sizes: dict[int, int]) -> Column:
     return chain
 
 
-def fit_member(experiment: Experiment, params: dict, rows: DataFrame, validation: Column | None = None) -> PipelineModel:
+def class_sizes(rows: DataFrame) -> dict[int, int]:
+    return {int(r["label"]): r["count"] for r in rows.groupBy("label").count().collect()}
+
+
+def fit_member(
+    experiment: Experiment,
+    params: dict,
+    rows: DataFrame,
+    validation: Column | None = None,
+    weigh_by: dict[int, int] | None = None,
+) -> PipelineModel:
     """Train on ``features, label, weight``; one classifier, or one per class.
 
-    ``validation`` marks rows that only decide when boosting stops.
+    ``validation`` marks rows that only decide when boosting stops. Weights come
+    from the class sizes ``weigh_by``, by default those of the rows.
     """
-    sizes = {int(r["label"]): r["count"] for r in rows.groupBy("label").count().collect()}
-    rows = rows.withColumn("weight", weight_column(experiment, sizes))
+    sizes = class_sizes(rows)
+    rows = rows.withColumn("weight", weight_column(experiment, weigh_by or sizes))
     total = sum(sizes.values())
     if validation is not None:
         rows = rows.withColumn("__validation", validation)
@@ -255,8 +266,12 @@ def fit_calibrated(experiment: Experiment, params: dict, rows: DataFrame) -> tup
     ``rows`` is ``features, label, fold`` and should be cached.
     """
     folds = range(S.CALIBRATION_FOLDS)
+    # One weight for the whole training split, whichever fold a member leaves out.
+    sizes = class_sizes(rows) if experiment.weighting == "ratio" else None
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        members = list(pool.map(lambda f: fit_member(experiment, params, rows.where(F.col("fold") != f)), folds))
+        members = list(
+            pool.map(lambda f: fit_member(experiment, params, rows.where(F.col("fold") != f), weigh_by=sizes), folds)
+        )
     width = 1 if experiment.classes == 2 else experiment.classes
     held_out = None
     for f, member in zip(folds, members):
@@ -315,7 +330,12 @@ def train_model(
 def _vectors(experiment: Experiment, params: dict, train: DataFrame):
     """Fit the feature pipeline; returns it, the Fourier map, the completed parameters and the rows."""
     features = feature_pipeline(experiment.needs_scaling).fit(train)
-    vectors = features.transform(train)
+    vectors, fourier, params = _completed(experiment, params, features, features.transform(train))
+    return features, fourier, params, vectors
+
+
+def _completed(experiment: Experiment, params: dict, features: PipelineModel, vectors: DataFrame):
+    """Vectors, Fourier map and parameters of one setting, from the plain feature vectors."""
     inputs = len(features.stages[0].labels) + len(S.NUMERIC_FEATURES)
     fourier = None
     if experiment.fourier:
@@ -323,7 +343,7 @@ def _vectors(experiment: Experiment, params: dict, train: DataFrame):
         vectors = fourier.apply(vectors)
     if experiment.family == "mlp":
         params = {**params, "inputs": inputs, "outputs": experiment.classes}
-    return features, fourier, params, vectors
+    return vectors, fourier, params
 
 
 def measure(scored: DataFrame, experiment: Experiment) -> DataFrame:
@@ -363,12 +383,18 @@ def tune_model(
     train = materialise(with_folds(train, "label", S.CV_FOLDS), "tuning")
     rows = train.withColumn("label", F.col("label").cast("double"))
 
+    def fold_vectors(fold: int) -> tuple[PipelineModel, DataFrame]:
+        """Vocabulary and scaling come from the other folds only; all trials share them."""
+        features = feature_pipeline(experiment.needs_scaling).fit(rows.where(F.col("fold") != fold))
+        return features, materialise(features.transform(rows).select("features", "label", "fold"), "fold-vectors")
+
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        prepared = list(pool.map(fold_vectors, range(S.CV_FOLDS)))
+
     def fold_counts(trial: int, fold: int) -> list:
-        params = trials[trial]
-        outside, inside = rows.where(F.col("fold") != fold), F.col("fold") == fold
-        # Vocabulary and scaling come from the other folds only.
-        features, fourier, params, _ = _vectors(experiment, params, outside)
-        vectors = FailureModel(features, fourier, "", 0, [], []).vectors(rows)
+        features, vectors = prepared[fold]
+        vectors, _, params = _completed(experiment, trials[trial], features, vectors)
+        inside = F.col("fold") == fold
         if experiment.early_stopping:
             member = fit_member(experiment, params, vectors, validation=inside)
         else:
