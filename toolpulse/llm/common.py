@@ -11,7 +11,7 @@ from toolpulse.sources.durable import materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SALTS = 16
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,7 +23,7 @@ from toolpulse.llm.pretokens import splitter
 SEQUENCE = 2048
 END_ID = 1
 GROUP_TOKENS = 2_000_000
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 1_000_000
 LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
 _encoders: dict[str, "WordEncoder"] = {}
 
