@@ -305,3 +305,17 @@ def test_resample_draws_whole_rows(spark, training):
     got = lifecycle.resample(draws, "draw", training, ["type", "torque_nm"])
     assert got.count() == 500
     assert got.select("udi", "type", "torque_nm").distinct().join(training, ["udi", "type", "torque_nm"], "left_anti").isEmpty()
+
+
+def test_kept_baseline_gives_the_same_counts_and_is_not_read_again(spark, tmp_path):
+    columns = "type string, " + ", ".join(f"{c} double" for c in S.NUMERIC_FEATURES)
+    rng = random.Random(8)
+    rows = [(rng.choice("HLM"), *(float(rng.randint(0, 9)) for _ in S.NUMERIC_FEATURES)) for _ in range(300)]
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/reference")
+    reference = spark.read.parquet(f"{tmp_path}/reference")
+    current = spark.createDataFrame(rows[:90], columns)
+    D.baseline_counts(reference).write.parquet(f"{tmp_path}/counts")
+    merged = D.with_current(spark.read.parquet(f"{tmp_path}/counts"), current)
+    assert merged.exceptAll(D.value_counts(reference, current).select(merged.columns)).isEmpty()
+    assert merged.count() == D.value_counts(reference, current).count()
+    assert f"{tmp_path}/reference" not in merged._jdf.queryExecution().executedPlan().toString()

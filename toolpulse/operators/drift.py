@@ -47,6 +47,20 @@ def value_counts(reference: DataFrame, current: DataFrame, **features) -> DataFr
     return name_features(counts, **features)
 
 
+def baseline_counts(reference: DataFrame, **features) -> DataFrame:
+    """``feature, category, value, n_ref`` of a frozen baseline, to be kept beside it."""
+    rows = unpivot_features(reference, **features).groupBy("f", "category", "value").agg(F.count("*").alias("n_ref"))
+    return name_features(rows, **features)
+
+
+def with_current(baseline: DataFrame, current: DataFrame, **features) -> DataFrame:
+    """Kept baseline counts and those of a current sample, as ``value_counts`` gives them; the baseline is not counted again."""
+    own = name_features(unpivot_features(current, "cast(0 as long) as n_ref", "cast(1 as long) as n_cur", **features), **features)
+    held = baseline.withColumn("n_cur", F.lit(0).cast("long"))
+    keys = ["feature", "category", "value"]
+    return own.unionByName(held).groupBy(*keys).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+
+
 def ecdf(counts: DataFrame) -> DataFrame:
     """Running counts of both samples over the distinct values of each numeric feature."""
     numeric = counts.where(F.col("value").isNotNull())
@@ -261,17 +275,26 @@ def verdict(features: DataFrame, share: float = S.DRIFT_SHARE) -> DataFrame:
     )
 
 
-def drift_features(reference: DataFrame, current: DataFrame, tests: dict[str, str] | None = None) -> DataFrame:
-    """Per-feature result of a full check. The counts are written once and read from there."""
-    counts = materialise(value_counts(reference, current), "value-counts")
-    return feature_drift(feature_statistics(counts), tests)
+def drift_features(
+    reference: DataFrame, current: DataFrame, tests: dict[str, str] | None = None, baseline: DataFrame | None = None
+) -> DataFrame:
+    """Per-feature result of a full check. The counts are written once and read from there.
+
+    With ``baseline``, the kept counts of the reference, the reference is not read.
+    """
+    counts = value_counts(reference, current) if baseline is None else with_current(baseline, current)
+    return feature_drift(feature_statistics(materialise(counts, "value-counts")), tests)
 
 
 def drift_report(
-    reference: DataFrame, current: DataFrame, share: float = S.DRIFT_SHARE, tests: dict[str, str] | None = None
+    reference: DataFrame,
+    current: DataFrame,
+    share: float = S.DRIFT_SHARE,
+    tests: dict[str, str] | None = None,
+    baseline: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(per feature, verdict)`` for two feature frames."""
-    features = drift_features(reference, current, tests)
+    features = drift_features(reference, current, tests, baseline)
     return features, verdict(features, share)
 
 

@@ -11,6 +11,7 @@ from toolpulse.operators.experiments import Experiment
 from toolpulse.operators.models import register_model, train_model, tune_model
 from toolpulse.operators.registry import Registry
 from toolpulse.sources import writers
+from toolpulse.sources.durable import materialise
 from toolpulse.sources.readers import current_sample, training_window
 
 
@@ -59,19 +60,22 @@ def check_drift(
     share: float = S.DRIFT_SHARE,
     export_always: bool = False,
     purge: bool = True,
+    baseline: DataFrame | None = None,
 ) -> CheckResult:
     """One check: compare, and on drift export the readings, ask for a retrain and log.
 
+    Recurring checks pass ``baseline``, the reference's counts, counted once.
+
     With ``export_always`` stable readings are exported as well, without a
     retrain. The check is logged even when the export fails; the error goes on
     to the caller, and the next check exports the same readings.
     """
     spark = space.spark
-    current = current_sample(space.readings.rows(), since, limit)
+    current = materialise(current_sample(space.readings.rows(), since, limit), "current-sample")
     if current.isEmpty():
         writers.append_check_log(spark, space.check_log, False, False)
         return CheckResult("NO_DATA")
-    features, verdict = drift_report(reference, current, share)
+    features, verdict = drift_report(reference, current, share, baseline=baseline)
     outcome = verdict.first()
     drifted = outcome["verdict"] == "DRIFT"
     result = CheckResult(outcome["status"], drifted, features=features)

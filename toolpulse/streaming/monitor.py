@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from toolpulse import schemas as S
+from toolpulse.operators.drift import baseline_counts
 from toolpulse.operators.lifecycle import wear_now
 from toolpulse.plans.jobs import CheckResult, Workspace, check_drift
 from toolpulse.sources import writers
+from toolpulse.sources.durable import materialise
 from toolpulse.streaming.sources import trigger
 
 
@@ -27,13 +29,15 @@ def watch_drift(
 
     The check reads the log, not the batch, so "newest" spans batches. A batch
     has its own folder in the log, and an export skips readings it has taken
-    before, so a repeated batch changes nothing.
+    before, so a repeated batch changes nothing. The frozen reference is counted
+    once, when the stream starts.
     """
+    baseline = materialise(baseline_counts(reference), "baseline-counts")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         arrived = writers.checked_not_null(batch, S.READINGS_SCHEMA)
         arrived.write.mode("overwrite").parquet(f"{space.readings.path}/batch={batch_id}")
-        result = check_drift(space, reference, limit=limit, purge=purge)
+        result = check_drift(space, reference, limit=limit, purge=purge, baseline=baseline)
         if report is not None:
             report(batch_id, result)
 
