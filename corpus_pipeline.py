@@ -21,8 +21,13 @@ def _with_text(docs: DataFrame, text) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language is clear; null texts, texts without a letter and ambiguous ones go."""
+    """Keeps documents whose language is clear; null texts, texts without a letter and ambiguous ones go.
+
+    Without any labelled document no language can be told, and only texts without a letter go.
+    """
     model = lang_id.train(lang_id.labelled_part(docs))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
     found = lang_id.identify(docs.select(*COLUMNS), model)
     return found.where(~F.col("ambiguous") & (F.col("lang_pred") != lang_id.UNKNOWN)).select(*COLUMNS)
 

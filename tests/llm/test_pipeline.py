@@ -42,3 +42,8 @@ def test_decisions_take_effect(spark):
 
 def test_run_on_the_small_table(spark):
     assert pipeline.run(spark, SF).where("length <= 0 OR offset + length > 2048").count() == 0
+
+
+def test_language_stage_without_labels(spark):
+    docs = docs_frame(spark, [(1, "some words", None, "a"), (2, "12 !", None, "a"), (3, None, None, "a"), (4, "", None, "a")])
+    assert [r["doc_id"] for r in pipeline.identify_language(spark, docs, SF).collect()] == [1]
