@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from toolpulse.llm.common import slices
 from toolpulse.llm.pretokens import splitter
 
-KNOWN_WORDS = 400_000  # encoded words a Python worker keeps; beyond, it starts anew
+KNOWN_WORDS = 800_000  # encoded words a Python worker keeps; beyond, it starts anew
 _replays: dict[str, "MergeReplay"] = {}
 
 
@@ -44,7 +44,7 @@ class MergeReplay:
         rank = self.merged.get(pair)
         if rank is None:
             rank = self.ranks.get(self.bytes_of[left] + self.bytes_of[right], -1)
-            if len(self.merged) > 2_000_000:
+            if len(self.merged) > 500_000:
                 self.merged.clear()
             self.merged[pair] = rank
         return rank
