@@ -16,11 +16,10 @@ from array import array
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from toolpulse.llm.common import slices
+from toolpulse.llm.common import slices, worker_table
 from toolpulse.llm.pretokens import splitter
 
 KNOWN_WORDS = 800_000  # encoded words a Python worker keeps; beyond, it starts anew
-_replays: dict[str, "MergeReplay"] = {}
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -131,9 +130,7 @@ class MergeReplay:
 
 
 def replay_of(path: str) -> MergeReplay:
-    if path not in _replays:
-        _replays[path] = MergeReplay(read_ranks(path))
-    return _replays[path]
+    return worker_table(("ranks", path), lambda: MergeReplay(read_ranks(path)))
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, decoded: bool = False) -> DataFrame:

@@ -12,6 +12,15 @@ from toolpulse.sources.durable import materialise
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SALTS = 16
 SLICE_CHARS = 1_000_000
+_worker_table: dict = {}
+
+
+def worker_table(name, make):
+    """A table that a Python worker keeps from task to task; asking for another one drops the one before."""
+    if name not in _worker_table:
+        _worker_table.clear()
+        _worker_table[name] = make()
+    return _worker_table[name]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from toolpulse.llm.common import slices
+from toolpulse.llm.common import slices, worker_table
 
 BUCKETS = 1 << 15
 SIZES = (1, 2, 3, 4)
@@ -104,7 +104,7 @@ class Model:
         return best, 1 / share.sum(axis=1), lead < MIN_LEAD * self.trust.sum()
 
 
-def _counted(texts: list[str], at_once: int = 64) -> Iterator[tuple[int, np.ndarray]]:
+def _counted(texts: list[str], at_once: int = 32) -> Iterator[tuple[int, np.ndarray]]:
     for start in range(0, len(texts), at_once):
         yield start, np.stack([gram_counts(t) for t in texts[start : start + at_once]])
 
@@ -114,11 +114,13 @@ def train(labelled: DataFrame) -> Model:
     rows = labelled.select("lang", "text").where("lang IS NOT NULL")
 
     def count(batches):
-        sums: dict[str, np.ndarray] = {}
+        sums = worker_table("grams", dict)
+        sums.clear()
         for batch in batches:
-            for lang, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "text"))):
-                if has_letter(text):
-                    sums[lang] = sums.get(lang, 0) + gram_counts(text)
+            for part in slices(batch, "text"):
+                for lang, text in zip(*(part.column(c).to_pylist() for c in ("lang", "text"))):
+                    if has_letter(text):
+                        sums[lang] = sums.get(lang, 0) + gram_counts(text)
         for lang, total in sums.items():
             used = np.flatnonzero(total)
             columns = [pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int32()), pa.array(total[used])]
@@ -150,7 +152,7 @@ def _weigh_bits(model: Model, rows: DataFrame) -> None:
     def measure(batches):
         own = shared.value
         seen, right, size = 0, np.zeros(own.code.shape[1]), np.zeros(own.code.shape[1])
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, "text")):
             pairs = zip(*(batch.column(c).to_pylist() for c in ("lang", "text")))
             pairs = [(lang, text) for lang, text in pairs if has_letter(text)]
             for start, counts in _counted([text for _, text in pairs]):

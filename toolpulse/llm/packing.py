@@ -17,22 +17,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from toolpulse.llm.common import slices
+from toolpulse.llm.common import slices, worker_table
 from toolpulse.llm.pretokens import splitter
 
 SEQUENCE = 2048
 END_ID = 1
 GROUP_TOKENS = 2_000_000
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 200_000  # words of a generation
 LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
-_encoders: dict[str, "WordEncoder"] = {}
 
 
 class WordEncoder:
     """Ids of texts by a ``tokenizers`` file; words of ``pattern`` are encoded once and looked up then.
 
-    A text that holds the string of an added token is encoded whole. The
-    pattern must be the one that the tokenizer splits by.
+    Known words are in two generations: when the younger is full, the older is
+    forgotten, so frequent words stay and memory is bounded. A text that holds
+    the string of an added token is encoded whole. The pattern must be the one
+    that the tokenizer splits by.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -40,17 +41,18 @@ class WordEncoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = splitter(pattern)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [None if any(a in text for a in self.added) else self.split(text) for text in texts]
-        seen = set().union(*(w for w in words if w))
-        new = [w for w in seen if w not in self.known]
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
-            new = list(seen)
+        if len(self.known) > KNOWN_WORDS:
+            self.known, self.older = {}, self.known
+        seen = set().union(*(w for w in words if w)).difference(self.known)
+        self.known.update((w, self.older[w]) for w in seen if w in self.older)
+        new = [w for w in seen if w not in self.older]
         self.known.update(zip(new, self._whole(new)))
         return [
             self._whole([text])[0] if own is None else b"".join(map(self.known.__getitem__, own))
@@ -59,9 +61,7 @@ class WordEncoder:
 
 
 def encoder_of(path: str, pattern: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path, pattern)
-    return _encoders[path]
+    return worker_table(("words", path, pattern), lambda: WordEncoder(path, pattern))
 
 
 def assign(lengths: list[int], size: int = SEQUENCE) -> list[tuple[int, int, int, int, int]]:
