@@ -195,3 +195,35 @@ def test_redaction_of_odd_rows(spark):
     assert texts[50] == f"plain number {10**16}" and texts[90] == "" and texts[None] is None
     assert secret_scan.redact(docs.limit(0)).count() == 0
     assert secret_scan.scan(docs.where("doc_id >= 50 AND doc_id < 90")).where("is_secret").count() == 0
+
+
+def test_unquoted_values_are_candidates():
+    """.env, shell, query strings, yaml, and values that are short or without a digit."""
+    for text, values in [
+        ("API_KEY=9f86d081884c7d659a2feaa0c55ad015", ["9f86d081884c7d659a2feaa0c55ad015"]),
+        ("export AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG+bPxRfiCYEXAMPLEKEY\n", ["wJalrXUtnFEMI/K7MDENG+bPxRfiCYEXAMPLEKEY"]),
+        ("GET /x?token=abcdef0123456789abcdef&page=2", ["abcdef0123456789abcdef"]),
+        ('url = "https://a.example.com/x?user=me&token=abcdef0123456789abcdef"', ["abcdef0123456789abcdef"]),
+        ("url=https://a.example.com/x?token=hunter2hunter", ["https://a.example.com/x", "hunter2hunter"]),
+        ("password: hunter22\nuser: me", ["hunter22"]),
+        ("PASSWORD=correcthorsebattery", ["correcthorsebattery"]),
+        ("(secret = Tr0ub4dor&3!x?)", ["Tr0ub4dor&3!x?"]),
+        ("a=1,key=abcd-efgh,next=2", ["abcd-efgh"]),
+        ("'password' => 'it\"s-12345'", ['it"s-12345']),
+        ("password => hunter22x", ["hunter22x"]),
+        ("token = dGVzdC10ZXN0LXRlc3Q=", ["dGVzdC10ZXN0LXRlc3Q="]),
+        ("Authorization: Bearer abc123def456", ["abc123def456"]),
+        ('{"Authorization": "Bearer abc123def456"}', ["abc123def456"]),
+    ]:
+        assert [text[a:b] for a, b in secret_scan.candidates(text)] == values, text
+
+
+def test_unquoted_secrets_are_redacted(spark):
+    rnd = random.Random(4)
+    value = lambda n: "".join(rnd.choices("0123456789abcdef", k=n))
+    forms = ["API_KEY={}", "export ACCESS_TOKEN={} && run", "see /x?token={}&page=2", "password: {} in yaml"]
+    rows = [(i, forms[i % 4].format(value(12 if i % 8 > 3 else 40)), "en", "a") for i in range(160)]
+    rows += [(200 + i, f"see commit {value(40)} for more", "en", "a") for i in range(80)]
+    texts = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs_frame(spark, rows)).collect()}
+    assert all(texts[i] == forms[i % 4].format("<SECRET>") for i in range(160))
+    assert all(texts[i] == t for i, t, *_ in rows[160:])

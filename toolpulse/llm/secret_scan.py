@@ -1,7 +1,7 @@
 """Secret scan: candidate strings, judged by a random forest.
 
-Candidates are long runs of key-like characters and quoted values of
-assignments. The forest sees a candidate's length, its character transitions,
+Candidates are long runs of key-like characters and the values of assignments,
+quoted or not. The forest sees a candidate's length, its character transitions,
 how much of it a dictionary covers, what is path-like about it, and the words
 next to it. It is trained on labelled findings, a bounded sample.
 """
@@ -26,8 +26,13 @@ AROUND = 48  # characters before and after that give the neighbouring words
 TREES, DEPTH, SEED = 20, 6, 7
 THRESHOLD = 0.5
 
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=.\-])[A-Za-z0-9+/_.\-]{16,}={0,2}")
-_ASSIGNED = re.compile(r"""[:=]\s{0,3}["']([^"'\s]{8,})["']""")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_.\-])[A-Za-z0-9+/_.\-]{16,}={0,2}")
+_GIVEN = r""">?\s{0,3}(?:["']?(?:bearer|basic|token)\s{1,3})?"""  # between a name and its value
+_QUOTED = re.compile(rf"""[:=]{_GIVEN}(?:"([^"\s]{{8,}})"|'([^'\s]{{8,}})')""", re.I)
+# Behind a name, its closing quote and blanks. A separator ends the value only where the next name or a blank follows.
+_NAMED = r"""[:=](?:(?<=\w.)|(?<=\w["'\]\s].)|(?<=\w["'\]\s]\s.)|(?<=\w["'\]\s]\s\s.))"""
+_BARE = re.compile(rf"""{_NAMED}{_GIVEN}(?!//)((?:[^\s"'`<>,;&?]|[,;&?](?!\s|$|[\w.%\-]+=)){{8,}})""", re.I)
+_QUERY = re.compile(r"[A-Za-z][A-Za-z0-9+.\-]*://[^?]*\?[\w.%\-]+=")
 _WORD = re.compile(r"[^\W\d_]+")
 KEY_WORDS = frozenset("token secret password passwd pwd key apikey auth bearer credential credentials private".split())
 HASH_WORDS = frozenset("sha sha1 sha256 md5 hash commit checksum digest uuid guid revision version id integrity".split())
@@ -40,7 +45,9 @@ FEATURES = [
 def candidates(text: str) -> list[tuple[int, int]]:
     """(start, end) of the candidates of a text in order, none inside another."""
     spans = {m.span() for m in _RUN.finditer(text) if _mixed(m.group())}
-    spans |= {m.span(1) for m in _ASSIGNED.finditer(text)}
+    # A quoted url with a query is judged by its parts, so that it does not hide the values in it.
+    spans |= {m.span(m.lastindex) for m in _QUOTED.finditer(text) if not _QUERY.match(m.group(m.lastindex))}
+    spans |= {s for m in _BARE.finditer(text) if (s := _unclosed(text, *m.span(1)))[1] - s[0] >= 8}
     kept: list[tuple[int, int]] = []
     for span in sorted(spans, key=lambda s: (s[0], -s[1])):
         if not kept or span[0] >= kept[-1][1]:
@@ -48,6 +55,14 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return kept
 
 
+def _unclosed(text: str, start: int, end: int) -> tuple[int, int]:
+    """The span without a full stop or brackets at its end that it does not open."""
+    loose = ".:!" if any(c in text[start:end] for c in "([{") else ".:!)]}"
+    while end > start and text[end - 1] in loose:
+        end -= 1
+    return start, end
+
+
 def _mixed(run: str) -> bool:
     return any(c.isdigit() for c in run) or bool(re.search("[a-z][A-Z]", run))
 
