@@ -34,12 +34,21 @@ _NAMED = r"""[:=](?:(?<=\w.)|(?<=\w["'\]\s].)|(?<=\w["'\]\s]\s.)|(?<=\w["'\]\s]\
 _BARE = re.compile(rf"""{_NAMED}{_GIVEN}(?!//)((?:[^\s"'`<>,;&?]|[,;&?](?!\s|$|[\w.%\-]+=)){{8,}})""", re.I)
 _QUERY = re.compile(r"[A-Za-z][A-Za-z0-9+.\-]*://[^?]*\?[\w.%\-]+=")
 _WORD = re.compile(r"[^\W\d_]+")
-KEY_WORDS = frozenset("token secret password passwd pwd key apikey auth bearer credential credentials private".split())
+_HUMP = re.compile(r"([a-z0-9])([A-Z])")
+KEY_WORDS = frozenset("token secret password passwd pwd key apikey auth authorization bearer credential credentials private".split())
 HASH_WORDS = frozenset("sha sha1 sha256 md5 hash commit checksum digest uuid guid revision version id integrity".split())
 FEATURES = [
     "length", "log_length", "transitions", "vowel_turns", "entropy", "letter_flow", "digits", "capitals", "hex_only",
     "dictionary", "slashes", "dots", "extension", "key_before", "hash_before", "assigned", "quoted", "words_around",
+    "known_format",
 ]
+# Keys that their issuers give a shape of their own; for Python and Java.
+KNOWN = "|".join([
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}", r"gh[pousr]_[A-Za-z0-9]{36,}", r"github_pat_\w{22,}", r"glpat-[\w-]{20,}", r"xox[abprs]-[\w-]{10,}",
+    r"[sr]k_(?:live|test)_[A-Za-z0-9]{16,}", r"AIza[\w-]{35}", r"eyJ[\w-]+\.eyJ[\w-]+\.[\w-]*", r"SG\.[\w-]{16,}\.[\w-]{16,}",
+])
+_KNOWN = re.compile(KNOWN, re.A)
+_ASSIGNS = re.compile(r"""[:=]>?[\s"']*(?:(?:bearer|basic|token)\s+)?["']?$""", re.I)
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
@@ -101,9 +110,8 @@ def features(value: str, before: str, after: str, words: Dictionary) -> list[flo
     shares = [n / size for n in Counter(value).values()]
     kinds = [_kind(c) for c in value]
     vowels = [c in "aeiou" for c in value.lower()]
-    neighbours = re.findall(r"[A-Za-z0-9]+", before.lower().replace("_", " "))[-3:]
+    neighbours = re.findall(r"[A-Za-z0-9]+", _HUMP.sub(r"\1 \2", before).lower().replace("_", " "))[-3:]
     near = set(neighbours) | set(re.findall(r"[A-Za-z0-9]+", after.lower())[:1])
-    stripped = before.rstrip("\"' ")
     return [
         float(min(len(value), 10_000)),
         math.log1p(len(value)),
@@ -120,9 +128,10 @@ def features(value: str, before: str, after: str, words: Dictionary) -> list[flo
         float(re.search(r"\.[A-Za-z]{2,5}$", value) is not None),
         float(bool(near & KEY_WORDS)),
         float(bool(near & HASH_WORDS)),
-        float(stripped.endswith((":", "="))),
+        float(_ASSIGNS.search(before) is not None),
         float(before.endswith(('"', "'")) and after.startswith(('"', "'"))),
         float(len(neighbours)),
+        float(_KNOWN.fullmatch(value) is not None),
     ]
 
 
@@ -151,18 +160,34 @@ def find(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def label_by_rule(found: DataFrame) -> DataFrame:
-    """Labelled findings from a stated rule, and each secret once more as a mere hash.
-
-    1: a value assigned to a name with a key word. 0: any other candidate, and
-    the same values where a hash word stands in place of the key word.
+    """Labelled findings from a stated rule, and each assigned secret once more as a mere hash.
+
+    1: a value of a known key format, and one with a digit or a sign that is
+    given to a name with a key word, by ':', '=', '=>' or 'Bearer', whether or
+    not name and value are quoted. 0: a value behind a hash word; a number,
+    plain words or a file or host name with no key word before; and the
+    assigned secrets where a hash word stands in place of the key word. The
+    rule cannot judge other candidates, and they are left out.
     """
-    names = "|".join(sorted(KEY_WORDS))
-    secret = F.lower("before").rlike(rf"\b\w*({names})\w*\s*[:=]\s*[\"']?$")
-    labelled = found.select("value", "before", "after", secret.cast("double").alias("label"))
+    names = "|".join("auth(?!or(?!i))" if w == "auth" else w for w in sorted(KEY_WORDS))
+    quote = r"[\"'\]]?"
+    given = rf"(?i)\w*({names})\w*{quote}\s*([:=]+>?\s*[\"']?((bearer|basic|token)\s+)?|(?<=bearer)\s+)[\"']?$"
+    hashed = rf"(^|[^a-z])({'|'.join(sorted(HASH_WORDS))})([-_]?[0-9]+)?{quote}\s*([:=]+>?)?\s*[\"']?$"
+    value, before = F.col("value"), F.lower("before")
+    known = value.rlike(f"^({KNOWN})$")
+    # Words alone may be a reference or prose, and a variable or a blank to fill in is no value.
+    telling = value.rlike(r"[0-9!@#^*+~]") & ~value.rlike(r"^[$%{<]")
+    named = F.col("before").rlike(given)
+    harmless = value.rlike(r"^[0-9][0-9.,:/_+-]*$|^\p{L}+([._/-]+\p{L}+)*[._/-]*$|^[\w./~+-]*\.[A-Za-z]{2,5}$")
+    label = (
+        F.when(known | (named & telling), 1.0)
+        .when(~named & (before.rlike(hashed) | (harmless & ~before.rlike(names))), 0.0)
+    )
+    judged = found.select("value", "before", "after", label.alias("label"), known.alias("known")).where("label IS NOT NULL")
     word = F.element_at(F.array(*map(F.lit, sorted(HASH_WORDS))), F.pmod(F.xxhash64("value"), F.lit(len(HASH_WORDS))).cast("int") + 1)
-    renamed = F.concat(F.regexp_replace("before", rf"(?i)\w*({names})\w*\s*[:=]\s*[\"']?$", ""), word, F.lit(" "))
-    hashes = labelled.where("label = 1").select("value", renamed.alias("before"), F.lit(" ").alias("after"), F.lit(0.0).alias("label"))
-    return labelled.union(hashes)
+    renamed = F.concat(F.regexp_replace("before", given, ""), word, F.lit(" "))
+    hashes = judged.where("label = 1 AND NOT known").select("value", renamed.alias("before"), F.lit(" ").alias("after"), F.lit(0.0).alias("label"))
+    return judged.drop("known").union(hashes)
 
 
 class Scanner:
