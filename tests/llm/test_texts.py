@@ -267,3 +267,23 @@ def test_every_form_of_secret_is_found_in_held_out_documents(spark):
     assert {i % 9 for i in held & secrets} == set(range(9))
     hits = {r["doc_id"] for r in secret_scan.scan(docs).where("is_secret").collect()}
     assert hits & held == secrets & held and hits == secrets
+
+
+def test_dictionary_counts_all_texts_and_repeats_train_once(spark, monkeypatch):
+    rows = [(i, "far from any finding stands Örtlich and zebra", "en", "a") for i in range(5)] + [(9, None, "en", "a"), (10, "once", "en", "a")]
+    words = secret_scan.count_words(docs_frame(spark, rows))
+    assert words.words == {"far", "from", "any", "finding", "stands", "örtlich", "and", "zebra"}
+    assert ("z", "e") in words.pairs and ("c", "e") not in words.pairs
+    monkeypatch.setattr(secret_scan, "WORD_SHARE", 0.2)
+    assert secret_scan.count_words(docs_frame(spark, rows + [(11, "zebra " * 50, "en", "a")])).words == {"zebra"}
+
+    # With room for two rows of a label, a thousand copies leave room for the other finding.
+    monkeypatch.setattr(secret_scan, "MAX_LABELLED", 2)
+    found = [("a1b2c3d4e5f6", "token=", "", 1.0)] * 1000 + [("0a9b8c7d6e5f", "token=", "", 1.0), ("12345678", "card ", "", 0.0)]
+    taken = []
+    monkeypatch.setattr(secret_scan, "materialise", lambda df, name: taken.append((name, df.count())) or df)
+    labelled = spark.createDataFrame(found, "value string, before string, after string, label double")
+    secret_scan.train(labelled, words)
+    labelled = labelled.where("value <> '0a9b8c7d6e5f'")
+    secret_scan.train(labelled, words)
+    assert [n for name, n in taken if name == "labelled-findings"] == [3, 2]

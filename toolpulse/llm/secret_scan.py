@@ -3,12 +3,14 @@
 Candidates are long runs of key-like characters and the values of assignments,
 quoted or not. The forest sees a candidate's length, its character transitions,
 how much of it a dictionary covers, what is path-like about it, and the words
-next to it. It is trained on labelled findings, a bounded sample.
+next to it. It is trained on labelled findings, a bounded sample; the dictionary
+is counted over all texts.
 """
 
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -21,7 +23,8 @@ from toolpulse.llm.common import slices
 from toolpulse.sources.durable import materialise
 
 MAX_LABELLED = 20_000  # labelled findings of each label that the forest learns from
-DICTIONARY_WORDS = 5_000
+WORD_SHARE = 5e-6  # a dictionary word's least share of all words: 200,000 words at most
+PAIR_SHARE = 1e-4  # a known letter pair's least share of all pairs
 AROUND = 48  # characters before and after that give the neighbouring words
 TREES, DEPTH, SEED = 20, 6, 7
 THRESHOLD = 0.5
@@ -81,14 +84,11 @@ def _kind(c: str) -> int:
 
 
 class Dictionary:
-    """Frequent words and letter pairs of the text around findings."""
+    """Frequent words and letter pairs."""
 
-    def __init__(self, contexts: list[str]):
-        words = Counter(w for text in contexts for w in _WORD.findall(text.lower()) if len(w) > 2)
-        self.words = {w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0]))[:DICTIONARY_WORDS]}
+    def __init__(self, words: Iterable[str], pairs: Iterable[str]):
+        self.words, self.pairs = set(words), {tuple(p) for p in pairs}
         self.longest = max(map(len, self.words), default=0)
-        pairs = Counter(p for w, n in words.items() for p in zip(w, w[1:]))
-        self.pairs = {p for p, n in pairs.items() if n > 1}
 
     def coverage(self, value: str) -> float:
         """Share of the characters inside dictionary words, taken longest first from the left."""
@@ -135,6 +135,30 @@ def features(value: str, before: str, after: str, words: Dictionary) -> list[flo
     ]
 
 
+def count_words(docs: DataFrame) -> Dictionary:
+    """The dictionary of all texts: words and letter pairs that are there twice and have their least share."""
+
+    def count(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words: Counter[str] = Counter()
+                for text in part.column(0).to_pylist():
+                    words.update(w for w in _WORD.findall((text or "").lower()) if len(w) > 2)
+                yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["word", "n"])
+
+    counted = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = materialise(counted, "word-counts")
+    places = F.sequence(F.lit(1), F.length("word") - 1)
+    pairs = counted.select(F.explode(F.transform(places, lambda i: F.substring("word", i, 2))).alias("pair"), "n")
+    pairs = materialise(pairs.groupBy("pair").agg(F.sum("n").alias("n")), "pair-counts")
+
+    def frequent(rows: DataFrame, share: float) -> list[str]:
+        least = max(2.0, share * (rows.agg(F.sum("n")).first()[0] or 0))
+        return [r[0] for r in rows.where(F.col("n") >= least).collect()]  # at most 1 / share
+
+    return Dictionary(frequent(counted, WORD_SHARE), frequent(pairs, PAIR_SHARE))
+
+
 _FINDING = "start int, end int, value string, before string, after string"
 
 
@@ -219,16 +243,15 @@ class Scanner:
         return scored.withColumn("is_secret", F.col("score") >= THRESHOLD)
 
 
-def train(labelled: DataFrame) -> Scanner:
-    """A scanner from (value, before, after, label); ``MAX_LABELLED`` rows of each label at most, by hash.
+def train(labelled: DataFrame, words: Dictionary) -> Scanner:
+    """A scanner from (value, before, after, label); ``MAX_LABELLED`` distinct rows of each label at most, by hash.
 
     With one label alone there is no forest: every score is that label.
     """
-    mixed = labelled.withColumn("h", F.xxhash64("value", "before"))
+    mixed = labelled.select("value", "before", "after", "label").distinct().withColumn("h", F.xxhash64("value", "before", "after"))
     parts = [mixed.where(F.col("label") == v).orderBy("h", "value", "before", "after").limit(MAX_LABELLED) for v in (0.0, 1.0)]
     sample = materialise(parts[0].union(parts[1]).drop("h"), "labelled-findings")
-    rows = sample.select("label", "before", "after").toPandas()  # bounded by the sample
-    words = Dictionary((rows["before"] + " " + rows["after"]).tolist())
+    rows = sample.select("label").toPandas()  # bounded by the sample
     share = float(rows["label"].mean()) if len(rows) else 0.0
     if share in (0.0, 1.0):
         return Scanner(words, None, share)
@@ -246,12 +269,12 @@ def scan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One row per candidate: doc_id (and ``keep``), start, end, value, score, is_secret.
 
     Offsets count characters of the text. The scanner is trained on the
-    documents themselves by ``label_by_rule``. A null or empty text has no
+    documents themselves by ``label_by_rule``, with their dictionary. A null or empty text has no
     candidates; a null doc_id stays null; repeated rows are scanned each.
     """
     keep = ["doc_id", *(keep or [])]
     found = materialise(find(docs, keep), "secret-candidates")
-    scanner = train(label_by_rule(labelled_part(found)))
+    scanner = train(label_by_rule(labelled_part(found)), count_words(docs))
     return scanner.score(found).select(*keep, "start", "end", "value", "score", "is_secret")
 
 
