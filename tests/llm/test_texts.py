@@ -287,3 +287,11 @@ def test_dictionary_counts_all_texts_and_repeats_train_once(spark, monkeypatch):
     labelled = labelled.where("value <> '0a9b8c7d6e5f'")
     secret_scan.train(labelled, words)
     assert [n for name, n in taken if name == "labelled-findings"] == [3, 2]
+
+
+def test_features_see_the_whole_value():
+    words = secret_scan.Dictionary(["over", "overlap", "lap"], ["ov", "ve", "er"])
+    value = "x9" * 1500 + "over" * 750
+    got = dict(zip(secret_scan.FEATURES, secret_scan.features(value, "", "", words)))
+    assert got["dictionary"] == 0.5 and got["letter_flow"] == 2250 / 5999
+    assert words.coverage("OverlapoverlaZ") == 11 / 14 and words.coverage("ov") == 0

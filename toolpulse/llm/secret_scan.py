@@ -88,13 +88,16 @@ class Dictionary:
 
     def __init__(self, words: Iterable[str], pairs: Iterable[str]):
         self.words, self.pairs = set(words), {tuple(p) for p in pairs}
-        self.longest = max(map(len, self.words), default=0)
+        sizes: dict[str, set[int]] = {}
+        for w in self.words:
+            sizes.setdefault(w[:3], set()).add(len(w))
+        self.sizes = {start: sorted(n, reverse=True) for start, n in sizes.items()}  # by the first three letters
 
     def coverage(self, value: str) -> float:
         """Share of the characters inside dictionary words, taken longest first from the left."""
         low, at, covered = value.lower(), 0, 0
         while at < len(low):
-            size = next((n for n in range(min(self.longest, len(low) - at), 2, -1) if low[at : at + n] in self.words), 0)
+            size = next((n for n in self.sizes.get(low[at : at + 3], ()) if at + n <= len(low) and low[at : at + n] in self.words), 0)
             covered += size
             at += size or 1
         return covered / max(len(low), 1)
@@ -118,11 +121,11 @@ def features(value: str, before: str, after: str, words: Dictionary) -> list[flo
         sum(a != b for a, b in zip(kinds, kinds[1:])) / size,
         sum(a != b for a, b in zip(vowels, vowels[1:])) / size,
         -sum(p * math.log2(p) for p in shares),
-        words.letter_flow(value[:2000]),
+        words.letter_flow(value),
         kinds.count(2) / size,
         kinds.count(1) / size,
         float(re.fullmatch(r"[0-9a-fA-F-]+", value) is not None),
-        words.coverage(value[:2000]),
+        words.coverage(value),
         float(value.count("/")),
         float(value.count(".")),
         float(re.search(r"\.[A-Za-z]{2,5}$", value) is not None),
