@@ -1,4 +1,4 @@
-"""Training, calibration, tuning and scoring with the fast presets.
+"""Training, calibration, tuning and scoring with the full presets, trials and floors.
 
 Fitted numbers have no SQL. What can be said of them exactly is checked beside
 them: which rows were trained on and tested, that probabilities add up, that
@@ -27,22 +27,22 @@ _trained: dict = {}
 
 
 def trained(spark, sf, name: str) -> MM.TrainingResult:
-    """One fast training run per experiment and session."""
+    """One full training run per experiment and session."""
     slot = (spark.sparkContext.applicationId, sf, name)
     if slot not in _trained:
         rows = training_window(A.training(spark, sf))
-        _trained[slot] = MM.train_model(rows, EXPERIMENTS[name], "fast")
+        _trained[slot] = MM.train_model(rows, EXPERIMENTS[name])
     return _trained[slot]
 
 
 def registry(spark, sf) -> Registry:
-    """A registry with a gate and a detail model in production."""
+    """A registry with a gate and a detail model, in production if they reach the floors."""
     slot = (spark.sparkContext.applicationId, sf, "registry")
     if slot not in _trained:
         reg = Registry(spark, new_path(spark, "registry"))
         for name in ("rf_binary", "rf_multiclass"):
             MM.register_model(reg, EXPERIMENTS[name], trained(spark, sf, name))
-            reg.promote(EXPERIMENTS[name].model_name, min_f1=0.0, auto=True)
+            reg.promote(EXPERIMENTS[name].model_name, auto=True)
         _trained[slot] = reg
     return _trained[slot]
 
@@ -139,22 +139,20 @@ def m16(spark, sf):
     )
 
 
-LIMITS = {"trees": 2, "depth": 3}
-
-
 @query("m17_parameter_search")
 def m17(spark, sf):
     rows = training_window(A.training(spark, sf))
-    return MM.tune_model(rows, EXPERIMENTS["xgb_binary"], n_trials=2, preset="fast", limits=LIMITS)[1]
+    return MM.tune_model(rows, EXPERIMENTS["xgb_binary"])[1]
 
 
 @query("m18_early_stopping")
 def m18(spark, sf):
-    """Trees kept of eight when a fold decides where boosting stops."""
+    """Trees kept of all when a fold decides where boosting stops."""
     rows = trained(spark, sf, "lgbm_binary").scored.select("udi", "label", "is_test")
     features = engineer_features(A.training(spark, sf)).join(rows, "udi")
     vectors = MM.feature_pipeline(scale=False).fit(features).transform(features).select("features", F.col("label").cast("double"), "is_test")
-    member = MM.fit_member(EXPERIMENTS["lgbm_binary"], {"trees": 8, "depth": 2, "rate": 0.9}, vectors, validation=F.col("is_test"))
+    experiment = EXPERIMENTS["lgbm_binary"]
+    member = MM.fit_member(experiment, experiment.params("full"), vectors, validation=F.col("is_test"))
     return vectors.groupBy("is_test").agg(F.count("*").alias("row_count")).withColumn("trees", F.lit(member.stages[0].getNumTrees))
 
 
@@ -162,8 +160,8 @@ def m18(spark, sf):
 def m19(spark, sf):
     rows = training_window(A.training(spark, sf))
     experiment = EXPERIMENTS["lgbm_binary"]
-    best, _ = MM.tune_model(rows, experiment, n_trials=1, preset="fast", limits=LIMITS)
-    result = MM.train_model(rows, experiment, "fast", best)
+    best, _ = MM.tune_model(rows, experiment)
+    result = MM.train_model(rows, experiment, overrides=best)
     return MM.measure(result.scored, experiment).withColumn("params", F.lit(str(sorted(best.items()))))
 
 
@@ -275,7 +273,7 @@ def s15_checks(spark, sf):
 def e3(spark, sf):
     space = jobs.Workspace(spark, new_path(spark, "space"))
     space.training.seed(A.training(spark, sf))
-    decision = jobs.retrain(space, EXPERIMENTS["rf_binary"], preset="fast", min_f1=0.5)
+    decision = jobs.retrain(space, EXPERIMENTS["rf_binary"])
     reg = Registry(spark, space.registry_root)
     held = reg.aliases().select("model_name", F.col("version").alias("production_version"))
     return held.withColumns({"outcome": F.lit(decision["outcome"]), "training_rows": F.lit(space.training.training().count())})
