@@ -124,3 +124,15 @@ def test_top_k_of_odd_rows(spark):
     assert topk.top_k_of_table(frame(spark, [(1, [1, 2])])).count() == 0
     large = frame(spark, [(0, [2e6, 2e6]), (1, [2e6, 1e6])])
     assert [tuple(r) for r in topk.top_k_of_table(large).collect()] == [(0, 1, 1, 6 * 1024 * 1024 * 10**12)]
+
+
+def test_stated_recall_at_the_threshold():
+    """The p-stable formula at the threshold is what the docstring says."""
+    from math import erfc, exp, pi, sqrt
+
+    from toolpulse.llm import embedding_dups as e
+
+    x = e.WIDTH / sqrt(2 - 2 * e.COSINE)
+    step = 1 - erfc(x / sqrt(2)) - 2 / (sqrt(2 * pi) * x) * (1 - exp(-x * x / 2))
+    recall = 1 - (1 - step**e.PER_TABLE) ** e.TABLES
+    assert f"{recall:.3f}" in e.__doc__
