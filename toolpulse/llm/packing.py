@@ -8,6 +8,7 @@ flat; a group wastes less than one sequence.
 """
 
 import heapq
+import os
 from array import array
 from collections.abc import Iterator
 
@@ -23,7 +24,7 @@ from toolpulse.llm.pretokens import splitter
 SEQUENCE = 2048
 END_ID = 1
 GROUP_TOKENS = 2_000_000
-KNOWN_WORDS = 200_000  # words of a generation
+KNOWN_WORDS = 200_000  # words of a generation; about 0.3 kB each
 LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
 
 
@@ -36,7 +37,10 @@ class WordEncoder:
     that the tokenizer splits by.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, known_words: int = KNOWN_WORDS):
+        # Tasks are the parallelism; the library's own threads only compete with them.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.known_words = known_words
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = splitter(pattern)
@@ -48,7 +52,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [None if any(a in text for a in self.added) else self.split(text) for text in texts]
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) > self.known_words:
             self.known, self.older = {}, self.known
         seen = set().union(*(w for w in words if w)).difference(self.known)
         self.known.update((w, self.older[w]) for w in seen if w in self.older)
@@ -60,8 +64,8 @@ class WordEncoder:
         ]
 
 
-def encoder_of(path: str, pattern: str) -> WordEncoder:
-    return worker_table(("words", path, pattern), lambda: WordEncoder(path, pattern))
+def encoder_of(path: str, pattern: str, known_words: int = KNOWN_WORDS) -> WordEncoder:
+    return worker_table(("words", path, pattern, known_words), lambda: WordEncoder(path, pattern, known_words))
 
 
 def assign(lengths: list[int], size: int = SEQUENCE) -> list[tuple[int, int, int, int, int]]:
@@ -90,17 +94,18 @@ def assign(lengths: list[int], size: int = SEQUENCE) -> list[tuple[int, int, int
     return pieces
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, pattern: str, known_words: int = KNOWN_WORDS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
     ``ids`` are little-endian unsigned 32-bit integers in one binary value. A
     document's tokens end with ``END_ID``; a null or empty text has that one
     alone. Equal rows are packed each for itself and a null doc_id stays null.
     Other columns are ignored. Sequence ids are unique, not consecutive.
+    ``known_words`` bounds a worker's memory; ids do not depend on it.
     """
 
     def pack(batches):
-        encoder = encoder_of(tokenizer_path, pattern)
+        encoder = encoder_of(tokenizer_path, pattern, known_words)
         next_id = TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
         held: list[tuple] = []  # doc_id, ids, tokens before them, tokens of the document

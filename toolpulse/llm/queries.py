@@ -88,7 +88,8 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer, public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.pack_documents(docs, tokenizer, public_tokenizers.PATTERN, known_words=700_000)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
