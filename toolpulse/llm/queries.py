@@ -13,6 +13,7 @@ from toolpulse.llm import (
     lang_id,
     line_dedup,
     packing,
+    quality_rules,
     secret_scan,
     topk,
     url_filters,
@@ -108,3 +109,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_secret_scan")
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_quality_rules", quality_rules.judge_sql())
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
