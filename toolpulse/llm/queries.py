@@ -15,6 +15,8 @@ from toolpulse.llm import (
     packing,
     quality_rules,
     secret_scan,
+    spelling_variants,
+    token_alignment,
     topk,
     url_filters,
     warc,
@@ -114,3 +116,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_quality_rules", quality_rules.judge_sql())
 def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bytes_bpe, pieces = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"), bytes_bpe, pieces)
+
+
+DELETE_EVERY = 97
+
+
+@query("op13_spelling_variants", spelling_variants.variants_sql(DELETE_EVERY))
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"), delete_every=DELETE_EVERY)
