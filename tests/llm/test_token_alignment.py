@@ -92,14 +92,15 @@ def test_chunks_are_forgotten_without_harm():
     assert len(small.known) < 40 and not any(len(c) > A.LONG_CHUNK for c in large.known)
 
 
-def test_vocabulary_that_cannot_be_cut():
+def test_chunks_together_equal_the_whole():
+    """Also where pieces go on over a carriage return."""
     aligner = A.Aligner(*PATHS)
-    whole = A.Aligner(*PATHS)
-    whole.words.cut = False
-    for text in [t for t in TEXTS if t]:
-        got, one = aligner.of_texts([text])[0], whole.of_texts([text])[0]
-        assert [sum(f[k] for f in got) for k in range(3)] == [sum(f[k] for f in one) for k in range(3)]
-        assert ";".join(f[4] for f in got) == ";".join(f[4] for f in one)
+    for text in [t for t in TEXTS if t and "▁" not in t] + ["if (x) {\r\n  y();\r\n}\r z,\r\n\r\r;"]:
+        found = aligner.of_texts([text])[0]
+        whole = aligner.align(*aligner.words.encode_whole(text), [len(text.encode()) + 1])[0]
+        assert len(found) > 1 or len(aligner.words.chunks(" " + text)) == 1
+        assert [sum(f[k] for f in found) for k in range(3)] == list(whole[:3])
+        assert ";".join(f[4] for f in found) == whole[4]
 
 
 def test_identity_map_joins_equal_bytes():

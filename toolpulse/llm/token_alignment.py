@@ -1,8 +1,9 @@
 """Alignment of two tokenizers: which ids of A end where ids of B end, and how often over the corpus.
 
-Texts are cut before every white-space character that follows another kind of
-character. No token of either tokenizer reaches over such a cut, so a chunk is
-encoded and aligned once by a worker and then looked up. Byte offsets where
+Texts are cut before white space that follows another kind of character. No
+token of either tokenizer reaches over such a cut (characters that a piece of B
+holds inside are no cut), so a chunk is encoded and aligned once by a worker and
+then looked up. Byte offsets where
 tokens of both end cut the tokens into groups; the last tokens of a group are
 linked, so a group is one link.
 
@@ -29,13 +30,13 @@ from tokenizers import Tokenizer
 from toolpulse.llm.common import slices, worker_table
 from toolpulse.sources.durable import materialise
 
-KNOWN_CHUNKS = 150_000  # chunks of a generation that a worker keeps
+KNOWN_CHUNKS = 250_000  # chunks of a generation that a worker keeps; about 0.4 kB each
+RUN_CHARS = 20_000  # new chunks that are encoded at once
 LONG_CHUNK = 64  # longer ones are not kept
 HOT_SHARE = 4096
 PAIRS_AT_ONCE = 1_000_000
 SHIFT = 1 << 20  # a pair is A id * SHIFT + B id
 SPACE = "▁"
-_chunks = re.compile(r"\s+\S*").findall
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -65,20 +66,22 @@ class Vocabularies:
         self.bytes_b = [
             bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
+        self.guard = self.b.encode("x")
         self.size_a = np.array([len(t) for t in self.bytes_a])
         self.size_b = np.array([len(t) for t in self.bytes_b])
         # A piece comes before the single byte that only stands in for missing pieces.
         order = sorted(range(len(pieces)), key=lambda i: (not self.b.is_byte(i), -i))
         same = {self.bytes_b[i]: i for i in order}
         self.identity = np.array([same.get(t, -1) if t else -1 for t in self.bytes_a])
-        # Cutting before white space is right only if no piece goes on over it.
-        self.cut = not any(re.search(r"\S\s", p.replace(SPACE, " ")) for p in pieces)
+        # A cut before white space is right only if no piece goes on over it: carriage returns follow other signs in some.
+        inside = "".join(sorted({c for p in pieces for c in re.findall(r"(?<=\S)\s", p.replace(SPACE, " "))}))
+        going_on = f"(?:[{re.escape(inside)}]\\s*)?" if inside else ""
+        self.chunks = re.compile(rf"\s+(?:\S+{going_on})*").findall
 
-    def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of chunks that begin with white space and follow something else."""
-        a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-        guard = len(self.b.encode("x"))
-        return a, [ids[guard:] for ids in self.b.encode(["x" + c for c in chunks], num_threads=1)]
+    def encode(self, run: str) -> tuple[list[int], list[int]]:
+        """Ids of a run that begins with white space and follows something else."""
+        ids = self.b.encode("x" + run, num_threads=1)
+        return self.a.encode(run, add_special_tokens=False).ids, ids[len(self.guard) :]
 
     def encode_whole(self, text: str) -> tuple[list[int], list[int]]:
         return self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text, num_threads=1)
@@ -103,50 +106,66 @@ class Aligner:
         self.texts_a = [str(i) for i in range(len(self.words.bytes_a))]
         self.texts_b = [str(i) for i in range(len(self.words.bytes_b))]
 
-    def align(self, ids_a: list[list[int]], ids_b: list[list[int]]) -> list[tuple]:
-        """Alignments of many sequences with equal bytes, laid end to end."""
-        flat_a = np.fromiter((i for ids in ids_a for i in ids), dtype=np.int64)
-        flat_b = np.fromiter((i for ids in ids_b for i in ids), dtype=np.int64)
+    def align(self, ids_a: list[int], ids_b: list[int], sizes: list[int]) -> list[tuple]:
+        """Alignments of neighbouring chunks of ``sizes`` bytes, all of whose ends are ends of tokens."""
+        flat_a, flat_b = np.array(ids_a, dtype=np.int64), np.array(ids_b, dtype=np.int64)
         end_a, end_b = np.cumsum(self.words.size_a[flat_a]), np.cumsum(self.words.size_b[flat_b])
-        _, last_a, last_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
+        shared, last_a, last_b = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
         links = flat_a[last_a] * SHIFT + flat_b[last_b]
-        stop = np.cumsum([len(ids) for ids in ids_a])
-        upto = np.searchsorted(last_a, stop).tolist()
-        text_a = list(map(self.texts_a.__getitem__, flat_a.tolist()))
-        text_b = list(map(self.texts_b.__getitem__, flat_b.tolist()))
+        upto = np.searchsorted(shared, np.cumsum(sizes), side="right")
+        count_a, count_b = (np.diff(last[upto - 1], prepend=-1).tolist() for last in (last_a, last_b))
+        text_a = list(map(self.texts_a.__getitem__, ids_a))
+        text_b = list(map(self.texts_b.__getitem__, ids_b))
         groups, i, j = [], 0, 0
         for p, q in zip((last_a + 1).tolist(), (last_b + 1).tolist()):
             left = text_a[i] if p - i == 1 else ",".join(text_a[i:p])
             groups.append(f"{left}|{text_b[j] if q - j == 1 else ','.join(text_b[j:q])}")
             i, j = p, q
         out, start = [], 0
-        for a, b, end in zip(ids_a, ids_b, upto):
-            out.append((len(a), len(b), end - start, links[start:end].tobytes(), ";".join(groups[start:end])))
+        for a, b, end in zip(count_a, count_b, upto.tolist()):
+            out.append((a, b, end - start, links[start:end].tobytes(), ";".join(groups[start:end])))
             start = end
         return out
 
+    def aligned(self, chunks: list[str]) -> list[tuple | None]:
+        """Alignments of chunks that are encoded as one run; one by one if the run is not spelled."""
+        data = [c.encode("utf-8", "replace") for c in chunks]
+        ids = self.words.encode("".join(chunks))
+        if self.words.spells(*ids, b"".join(data)):
+            return self.align(*ids, [len(d) for d in data])
+        return [found for c in chunks for found in self.aligned([c])] if len(chunks) > 1 else [None]
+
     def learn(self, chunks: set[str]) -> None:
         if len(self.known) > self.known_chunks:
             self.known, self.older = {}, self.known
         seen = chunks.difference(self.known)
         self.known.update((c, self.older[c]) for c in seen if c in self.older)
-        new = [c for c in seen if c not in self.older]
-        ids_a, ids_b = self.words.encode(new)
-        good = [i for i, c in enumerate(new) if self.words.spells(ids_a[i], ids_b[i], c.encode("utf-8", "replace"))]
-        self.known.update(dict.fromkeys(new))
-        self.known.update(zip([new[i] for i in good], self.align([ids_a[i] for i in good], [ids_b[i] for i in good])))
+        run, size = [], 0
+        for chunk in [c for c in seen if c not in self.older]:
+            # A chunk that ends in white space, or holds B's sign for a space, is no part of a run.
+            if chunk[-1].isspace() or SPACE in chunk:
+                self.known[chunk] = self.aligned([chunk])[0]
+                continue
+            run.append(chunk)
+            size += len(chunk)
+            if size > RUN_CHARS:
+                self.known.update(zip(run, self.aligned(run)))
+                run, size = [], 0
+        if run:
+            self.known.update(zip(run, self.aligned(run)))
 
     def of_texts(self, texts: list[str | None]) -> list[list[tuple]]:
         """Per text the alignments of its chunks in order; none where its ids do not spell it."""
-        cut = [_chunks(" " + text) if text and self.words.cut else [] for text in texts]
+        cut = [self.words.chunks(" " + text) if text else [] for text in texts]
         seen = set().union(*cut)
         self.learn(seen)
         out = []
         for text, chunks in zip(texts, cut):
             found = list(map(self.known.__getitem__, chunks))
-            if text and (None in found or not found):
+            if None in found:
                 a, b = self.words.encode_whole(text)
-                found = self.align([a], [b]) if self.words.spells(a, b, (" " + text).encode("utf-8", "replace")) else []
+                data = (" " + text).encode("utf-8", "replace")
+                found = self.align(a, b, [len(data)]) if self.words.spells(a, b, data) else []
             out.append(found)
         for chunk in seen:
             if len(chunk) > LONG_CHUNK:
