@@ -5,7 +5,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import (
-    GBTClassifier,
     LinearSVC,
     LogisticRegression,
     MultilayerPerceptronClassifier,
@@ -13,6 +12,7 @@ from pyspark.ml.classification import (
 )
 
 from toolpulse import schemas as S
+from toolpulse.operators.boosting import Boosting
 
 BINARY_MODEL = "machine-failure-binary"
 MULTICLASS_MODEL = "machine-failure-multiclass"
@@ -23,7 +23,8 @@ SEED = S.SPLIT_SEED
 class Experiment:
     """One entry of the registry.
 
-    ``build(params, rows)`` returns an untrained classifier; ``rows`` is the
+    ``build(params, rows)`` returns an untrained classifier, or the settings of
+    a boosted ensemble; ``rows`` is the
     training row count, which turns per-row penalties into Spark's averaged
     ones. A ``one_vs_rest`` experiment trains one such classifier per class.
     """
@@ -47,6 +48,10 @@ class Experiment:
     def classes(self) -> int:
         return 2 if self.target_type == "binary" else len(S.FAILURE_CLASSES)
 
+    @property
+    def boosted(self) -> bool:
+        return self.build is boosted_trees
+
     @property
     def target(self) -> str:
         return "machine_failure" if self.target_type == "binary" else "failure_class"
@@ -78,13 +83,13 @@ class Experiment:
         return out
 
 
-def boosted_trees(p: dict, rows: int):
-    """Gradient-boosted trees. An L2 penalty on leaves has no counterpart in Spark and is ignored."""
-    gbt = GBTClassifier(
-        maxIter=p["trees"], maxDepth=p["depth"], stepSize=p["rate"], minInstancesPerNode=p.get("min_rows", 1),
-        subsamplingRate=p.get("row_share", 1.0), featureSubsetStrategy=str(p.get("column_share", "all")), seed=SEED,
+def boosted_trees(p: dict, rows: int) -> Boosting:
+    """Settings of the boosted ensembles; classes, weights and folds are set where they are trained."""
+    return Boosting(
+        trees=p["trees"], depth=p["depth"], rate=p["rate"], l2=p["l2"], min_hessian=p["min_hessian"], min_rows=p.get("min_rows", 1),
+        row_share=p.get("row_share", 1.0), column_share=p.get("column_share", 1.0), max_leaves=p.get("max_leaves"),
+        curvature=p["curvature"], seed=SEED,
     )
-    return gbt
 
 
 def random_forest(p: dict, rows: int):
@@ -117,29 +122,36 @@ def perceptron(p: dict, rows: int):
 
 
 # Tuned and default parameters and search ranges of each experiment.
-XGB_TUNED = {"trees": 155, "depth": 8, "rate": 0.0856, "min_rows": 1, "row_share": 0.6472, "column_share": 0.9604}
+XGB = {"min_hessian": 1, "l2": 1.0, "curvature": 2.0}
+XGB_TUNED = {**XGB, "trees": 155, "depth": 8, "rate": 0.0856, "min_hessian": 1, "l2": 0.2413, "row_share": 0.6472, "column_share": 0.9604}
 XGB_SPACE = {
     "trees": ("int", 100, 500),
     "depth": ("int", 2, 12),
     "rate": ("log", 0.01, 0.3),
-    "min_rows": ("int", 1, 20),
+    "min_hessian": ("int", 1, 20),
+    "l2": ("log", 0.001, 10.0),
     "row_share": ("float", 0.5, 1.0),
     "column_share": ("float", 0.5, 1.0),
 }
-XGB_MULTI = {"trees": 200, "depth": 6, "rate": 0.3}
-LGBM_BINARY = {"trees": 200, "depth": 4, "rate": 0.1, "min_rows": 20}
+XGB_MULTI = {**XGB, "trees": 200, "depth": 6, "rate": 0.3}
+LGBM = {"min_hessian": 0.001, "l2": 0.0, "max_leaves": 31, "curvature": 1.25}
+LGBM_BINARY = {**LGBM, "trees": 200, "depth": 4, "rate": 0.1, "min_rows": 20}
 LGBM_BINARY_SPACE = {
     "trees": ("int", 100, 500),
     "depth": ("int", 2, 8),
     "rate": ("log", 0.01, 0.3),
     "min_rows": ("int", 10, 100),
+    "l2": ("log", 0.001, 10.0),
+    "patience": ("int", 20, 50),
 }
-LGBM_MULTI = {"trees": 200, "depth": 3, "rate": 0.1, "min_rows": 30}
+LGBM_MULTI = {**LGBM, "trees": 200, "depth": 3, "rate": 0.1, "min_rows": 30, "l2": 2.0}
 LGBM_MULTI_SPACE = {
     "trees": ("int", 100, 500),
     "depth": ("int", 2, 6),
     "rate": ("log", 0.01, 0.3),
     "min_rows": ("int", 20, 150),
+    "l2": ("log", 0.001, 10.0),
+    "patience": ("int", 20, 50),
 }
 FOREST = {"trees": 100, "depth": 30}
 LOGISTIC = {"iterations": 1000}
@@ -147,7 +159,8 @@ SVM_SPACE = {"C": ("log", 0.01, 100.0), "gamma": ("choice", ["scale", "auto"])}
 MLP = {"hidden": "128_64", "iterations": 300}
 MLP_SPACE = {"hidden": ("choice", ["64", "128", "64_32", "128_64"]), "rate": ("log", 0.0001, 0.01)}
 
-FAST_TREES = {"trees": 2, "depth": 3, "rate": 0.3}
+FAST_XGB = {**XGB, "trees": 2, "depth": 3, "rate": 0.3}
+FAST_LGBM = {**LGBM, "trees": 2, "depth": 3, "rate": 0.3}
 FAST_FOREST = {"trees": 8, "depth": 5}
 FAST_SVM = {"iterations": 10, "components": 32, "gamma": "scale"}
 SVM = {"iterations": 100, "components": 256, "gamma": "scale"}
@@ -155,14 +168,14 @@ SVM = {"iterations": 100, "components": 256, "gamma": "scale"}
 EXPERIMENTS = {
     e.name: e
     for e in [
-        Experiment("xgb_binary", "xgboost", "binary", boosted_trees, XGB_TUNED, FAST_TREES, weighting="ratio",
+        Experiment("xgb_binary", "xgboost", "binary", boosted_trees, XGB_TUNED, FAST_XGB, weighting="ratio",
                    space=XGB_SPACE, warm_start=XGB_TUNED),
-        Experiment("xgb_multiclass", "xgboost", "multiclass", boosted_trees, XGB_MULTI, FAST_TREES, score="rawPrediction",
-                   one_vs_rest=True, space={**XGB_SPACE, "depth": ("int", 2, 6)}),
-        Experiment("lgbm_binary", "lightgbm", "binary", boosted_trees, LGBM_BINARY, FAST_TREES, weighting="ratio",
+        Experiment("xgb_multiclass", "xgboost", "multiclass", boosted_trees, XGB_MULTI, FAST_XGB,
+                   space={**XGB_SPACE, "depth": ("int", 2, 6)}),
+        Experiment("lgbm_binary", "lightgbm", "binary", boosted_trees, LGBM_BINARY, FAST_LGBM, weighting="ratio",
                    space=LGBM_BINARY_SPACE, early_stopping=True),
-        Experiment("lgbm_multiclass", "lightgbm", "multiclass", boosted_trees, LGBM_MULTI, FAST_TREES,
-                   score="rawPrediction", one_vs_rest=True, space=LGBM_MULTI_SPACE, early_stopping=True),
+        Experiment("lgbm_multiclass", "lightgbm", "multiclass", boosted_trees, LGBM_MULTI, FAST_LGBM,
+                   space=LGBM_MULTI_SPACE, early_stopping=True),
         Experiment("rf_binary", "random_forest", "binary", random_forest, FOREST, FAST_FOREST, weighting="balanced"),
         Experiment("rf_multiclass", "random_forest", "multiclass", random_forest, FOREST, FAST_FOREST, weighting="balanced"),
         Experiment("logreg_binary", "logreg", "binary", logistic, LOGISTIC, {"iterations": 20}, weighting="balanced",

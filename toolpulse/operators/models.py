@@ -5,7 +5,7 @@ import math
 import random
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -19,6 +19,7 @@ from toolpulse import schemas as S
 from toolpulse.functions.features import engineer_features, feature_frame
 from toolpulse.functions.labels import label_training_rows
 from toolpulse.operators import metrics as M
+from toolpulse.operators.boosting import BoostedTrees, Boosting, Ensemble, boost, cut_points
 from toolpulse.operators.experiments import Experiment
 from toolpulse.operators.registry import Registry
 from toolpulse.operators.splits import with_folds, with_test_flag
@@ -82,7 +83,7 @@ class FailureModel:
     fourier: FourierMap | None
     score: str
     classes: int
-    members: list[PipelineModel]  # stages: one model, or one per class
+    members: list[PipelineModel | BoostedTrees]  # stages: one model, or one per class
     sigmoids: list[list[tuple[float, float]]]  # per member, per calibrated class
 
     def vectors(self, df: DataFrame) -> DataFrame:
@@ -104,12 +105,16 @@ class FailureModel:
     def save(self, spark: SparkSession, path: str) -> None:
         self.features.write().save(f"{path}/features")
         for i, member in enumerate(self.members):
-            member.write().save(f"{path}/member-{i}")
+            if isinstance(member, BoostedTrees):
+                member.save(spark, f"{path}/member-{i}")
+            else:
+                member.write().save(f"{path}/member-{i}")
         f = self.fourier
         meta = {
             "score": self.score,
             "classes": self.classes,
             "sigmoids": self.sigmoids,
+            "boosted": isinstance(self.members[0], BoostedTrees),
             "fourier": [f.inputs, f.components, f.gamma, f.seed] if f else None,
         }
         spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.text(f"{path}/meta")
@@ -122,13 +127,18 @@ class FailureModel:
             fourier=FourierMap(*meta["fourier"]) if meta["fourier"] else None,
             score=meta["score"],
             classes=meta["classes"],
-            members=[PipelineModel.load(f"{path}/member-{i}") for i in range(len(meta["sigmoids"]))],
+            members=[
+                BoostedTrees.load(spark, f"{path}/member-{i}") if meta["boosted"] else PipelineModel.load(f"{path}/member-{i}")
+                for i in range(len(meta["sigmoids"]))
+            ],
             sigmoids=[[tuple(ab) for ab in member] for member in meta["sigmoids"]],
         )
 
 
-def member_scores(df: DataFrame, member: PipelineModel, score: str, classes: int, name: str) -> DataFrame:
+def member_scores(df: DataFrame, member: PipelineModel | BoostedTrees, score: str, classes: int, name: str) -> DataFrame:
     """Adds the scores to calibrate as an array: class 1 only for two classes, else all."""
+    if isinstance(member, BoostedTrees):
+        return member.with_scores(df, name)
     outputs = ["rawPrediction", "probability", "prediction"]
     if len(member.stages) == 1:
         out = member.transform(df)
@@ -154,8 +164,8 @@ def calibrated(scores: Column, sigmoids: list[tuple[float, float]], classes: int
 # --- fitting ------------------------------------------------------------------------
 
 
-def weight_column(experiment: Experiment, sizes: dict[int, int]) -> Column:
-    """Row weight by class from the class sizes of the training rows."""
+def class_weights(experiment: Experiment, sizes: dict[int, int]) -> dict[int, float]:
+    """Row weight by class from the class sizes of the training rows; 1 where none is given."""
     total, present = sum(sizes.values()), len(sizes)
     if experiment.weighting == "balanced":
         weights = {c: total / (present * n) for c, n in sizes.items()}
@@ -163,8 +173,12 @@ def weight_column(experiment: Experiment, sizes: dict[int, int]) -> Column:
         weights = {1: sizes.get(0, 0) / sizes[1]} if sizes.get(1) else {}
     else:
         weights = {}
+    return weights
+
+
+def weight_column(experiment: Experiment, sizes: dict[int, int]) -> Column:
     chain = F.lit(1.0)
-    for c, w in weights.items():
+    for c, w in class_weights(experiment, sizes).items():
         chain = F.when(F.col("label") == c, F.lit(float(w))).otherwise(chain)
     return chain
 
@@ -173,31 +187,20 @@ def class_sizes(rows: DataFrame) -> dict[int, int]:
     return {int(r["label"]): r["count"] for r in rows.groupBy("label").count().collect()}
 
 
-def fit_member(
-    experiment: Experiment,
-    params: dict,
-    rows: DataFrame,
-    validation: Column | None = None,
-    weigh_by: dict[int, int] | None = None,
-) -> PipelineModel:
-    """Train on ``features, label, weight``; one classifier, or one per class.
-
-    ``validation`` marks rows that only decide when boosting stops. Weights come
-    from the class sizes ``weigh_by``, by default those of the rows.
+def fit_member(experiment: Experiment, params: dict, rows: DataFrame, weigh_by: dict[int, int] | None = None) -> PipelineModel:
+    """Train on ``features, label``; one classifier, or one per class.
+
+    Weights come from the class sizes ``weigh_by``, by default those of the rows.
     """
     sizes = class_sizes(rows)
     rows = rows.withColumn("weight", weight_column(experiment, weigh_by or sizes))
     total = sum(sizes.values())
-    if validation is not None:
-        rows = rows.withColumn("__validation", validation)
 
     def fit(label: str, frame: DataFrame):
         classifier = experiment.build(params, total)
         classifier.setFeaturesCol("features").setLabelCol(label)
         if experiment.weighting != "none":
             classifier.setWeightCol("weight")
-        if validation is not None:
-            classifier.setValidationIndicatorCol("__validation")
         return classifier.fit(frame)
 
     if not experiment.one_vs_rest:
@@ -207,6 +210,33 @@ def fit_member(
         return PipelineModel(list(pool.map(lambda c: fit(f"__is_{c}", each), range(experiment.classes))))
 
 
+def boosting_of(experiment: Experiment, params: dict, sizes: dict[int, int], **changes) -> Boosting:
+    """The settings of one ensemble with the experiment's classes and weights."""
+    weights = class_weights(experiment, sizes)
+    own = tuple(float(weights.get(c, 1.0)) for c in range(experiment.classes)) if weights else ()
+    return replace(experiment.build(params, sum(sizes.values())), classes=experiment.classes, weights=own, **changes)
+
+
+def boosting_rows(vectors: DataFrame, inputs: int) -> tuple[DataFrame, list[str]]:
+    """``key, label, fold`` and one column per entry of the feature vector."""
+    names = [f"f{i}" for i in range(inputs)]
+    values = vectors.select(F.col("udi").alias("key"), "label", "fold", vector_to_array("features").alias("v"))
+    return values.select("key", "label", "fold", *[F.col("v")[i].alias(n) for i, n in enumerate(names)]), names
+
+
+def boosted_by_fold(experiment: Experiment, params: dict, rows: DataFrame, patience: int | None = None) -> list[Ensemble]:
+    """One ensemble per calibration fold, each without that fold, all grown together."""
+    return _by_fold(experiment, params, rows, patience)[0]
+
+
+def _by_fold(experiment: Experiment, params: dict, rows: DataFrame, patience: int | None = None):
+    frame, names = boosting_rows(rows, len(rows.select("features").first()[0]))
+    frame = materialise(frame, "boosting")
+    cuts, sizes = cut_points(frame, names), class_sizes(rows)
+    runs = [boosting_of(experiment, params, sizes, held_fold=f, patience=patience) for f in range(S.CALIBRATION_FOLDS)]
+    return boost(frame, names, runs, cuts), cuts
+
+
 def fit_sigmoids(scored: DataFrame, groups: int, max_steps: int = 40) -> list[tuple[float, float]]:
     """Platt's two parameters for every group at once, by damped Newton steps.
 
@@ -263,15 +293,19 @@ def fit_sigmoids(scored: DataFrame, groups: int, max_steps: int = 40) -> list[tu
 def fit_calibrated(experiment: Experiment, params: dict, rows: DataFrame) -> tuple[list[PipelineModel], list]:
     """Members and their sigmoids: each member is fitted without one fold and calibrated on it.
 
-    ``rows`` is ``features, label, fold`` and should be cached.
+    ``rows`` is ``udi, features, label, fold`` and should be cached.
     """
     folds = range(S.CALIBRATION_FOLDS)
     # One weight for the whole training split, whichever fold a member leaves out.
     sizes = class_sizes(rows) if experiment.weighting == "ratio" else None
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        members = list(
-            pool.map(lambda f: fit_member(experiment, params, rows.where(F.col("fold") != f), weigh_by=sizes), folds)
-        )
+    if experiment.boosted:
+        ensembles, cuts = _by_fold(experiment, params, rows)
+        members = [BoostedTrees.of(e, cuts) for e in ensembles]
+    else:
+        with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+            members = list(
+                pool.map(lambda f: fit_member(experiment, params, rows.where(F.col("fold") != f), weigh_by=sizes), folds)
+            )
     width = 1 if experiment.classes == 2 else experiment.classes
     held_out = None
     for f, member in zip(folds, members):
@@ -316,7 +350,7 @@ def train_model(
     train = with_folds(df.where("NOT is_test"), "label", S.CALIBRATION_FOLDS)
     params = experiment.params(preset, overrides)
     features, fourier, params, vectors = _vectors(experiment, params, train)
-    rows = vectors.select("features", F.col("label").cast("double").alias("label"), "fold").persist()
+    rows = vectors.select("udi", "features", F.col("label").cast("double").alias("label"), "fold").persist()
     try:
         members, sigmoids = fit_calibrated(experiment, params, rows)
     finally:
@@ -381,6 +415,8 @@ def tune_model(
 
     train = prepare(training, experiment).where("NOT is_test")
     train = materialise(with_folds(train, "label", S.CV_FOLDS), "tuning")
+    if experiment.boosted:
+        return _tuned(spark, experiment, trials, _boosted_cells(experiment, trials, train))
     rows = train.withColumn("label", F.col("label").cast("double"))
 
     def fold_vectors(fold: int) -> tuple[PipelineModel, DataFrame]:
@@ -395,10 +431,7 @@ def tune_model(
         features, vectors = prepared[fold]
         vectors, _, params = _completed(experiment, trials[trial], features, vectors)
         inside = F.col("fold") == fold
-        if experiment.early_stopping:
-            member = fit_member(experiment, params, vectors, validation=inside)
-        else:
-            member = fit_member(experiment, params, vectors.where(~inside))
+        member = fit_member(experiment, params, vectors.where(~inside))
         scored = member_scores(vectors.where(inside), member, experiment.score, experiment.classes, "s")
         s = F.col("s")
         if experiment.classes == 2:
@@ -411,6 +444,29 @@ def tune_model(
     jobs = [(t, f) for t in range(len(trials)) for f in range(S.CV_FOLDS)]
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         cells = [row for rows_ in pool.map(lambda job: fold_counts(*job), jobs) for row in rows_]
+    return _tuned(spark, experiment, trials, cells)
+
+
+def _boosted_cells(experiment: Experiment, trials: list[dict], train: DataFrame) -> list[tuple]:
+    """(trial, fold, truth, predicted, n) of all trials and folds, grown together.
+
+    With ``patience`` in a trial its fold decides how many trees count. Bins
+    and the type vocabulary come from all training rows; labels are not looked at for them.
+    """
+    features = feature_pipeline(experiment.needs_scaling).fit(train)
+    frame, names = boosting_rows(features.transform(train), len(features.stages[0].labels) + len(S.NUMERIC_FEATURES))
+    frame = materialise(frame, "boosting")
+    cuts = cut_points(frame, names)
+    sizes = class_sizes(train)
+    jobs = [(t, f) for t in range(len(trials)) for f in range(S.CV_FOLDS)]
+    runs = [boosting_of(experiment, trials[t], sizes, held_fold=f, patience=trials[t].get("patience")) for t, f in jobs]
+    cells = []
+    for (t, f), ensemble in zip(jobs, boost(frame, names, runs, cuts, keep_trees=False)):
+        cells += [(t, f, a, b, int(n)) for a, row in enumerate(ensemble.confusion) for b, n in enumerate(row) if n]
+    return cells
+
+
+def _tuned(spark: SparkSession, experiment: Experiment, trials: list[dict], cells: list[tuple]) -> tuple[dict, DataFrame]:
     counts = spark.createDataFrame(cells, "trial int, fold int, truth int, predicted int, n long")
     table = M.mean_fold_score(M.scores(counts, experiment.average, "trial", "fold"))
     best = M.best_trial(table).first()

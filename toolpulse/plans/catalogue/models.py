@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from toolpulse import schemas as S
 from toolpulse.functions.features import engineer_features
+from toolpulse.operators import boosting as B
 from toolpulse.operators import models as MM
 from toolpulse.operators.experiments import BINARY_MODEL, EXPERIMENTS, MULTICLASS_MODEL
 from toolpulse.operators.registry import Registry
+from toolpulse.operators.splits import with_folds
 from toolpulse.operators.scoring import batch_totals, gate_and_detail, ordered_answers
 from toolpulse.plans import adapters as A
 from toolpulse.plans import jobs
@@ -119,6 +121,65 @@ for _number, _name in enumerate(EXPERIMENTS, 3):
     _experiment_checks(_number, _name)
 
 
+TREE = B.Boosting(trees=1, depth=2, rate=1.0, l2=1.0, min_hessian=1.0, start=False)
+
+
+def _histogram_sql(level: int, parent: str) -> str:
+    """CTEs with the best split of every node of a level, from sums per node, feature and bin.
+
+    Before any tree every probability is one half: a row's gradient is 0.5 - y and its hessian 0.25.
+    """
+    return f"""hist{level} AS (
+        SELECT path, no, feature, bin, upper, sum(0.5 - y) AS g, sum(0.25) AS h, count(*) AS n
+        FROM {parent} JOIN binned USING (udi) GROUP BY ALL),
+    cuts{level} AS (
+        SELECT path, no, feature, bin, upper, sum(g) OVER w::DOUBLE AS gl, sum(h) OVER w::DOUBLE AS hl, sum(n) OVER w AS nl,
+            sum(g) OVER p::DOUBLE AS gt, sum(h) OVER p::DOUBLE AS ht, sum(n) OVER p AS nt
+        FROM hist{level} WINDOW w AS (PARTITION BY path, feature ORDER BY bin), p AS (PARTITION BY path, feature)),
+    split{level} AS (
+        SELECT *, 0.5::DOUBLE * (gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1)) AS gain
+        FROM cuts{level} WHERE least(hl, ht - hl) >= 1
+        QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, no, bin) = 1),
+    at{level} AS (
+        SELECT r.udi, r.path || CASE WHEN b.bin <= s.bin THEN 'L' ELSE 'R' END AS path
+        FROM {parent} r JOIN split{level} s ON r.path = s.path AND s.gain > 0 JOIN binned b ON r.udi = b.udi AND s.feature = b.feature)"""
+
+
+def _tree_sql() -> str:
+    values = " UNION ALL ".join(
+        f"SELECT udi, machine_failure AS y, {i} AS no, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM newest" for i, c in enumerate(S.NUMERIC_FEATURES)
+    )
+    nodes = " UNION ALL ".join(f"SELECT udi, path FROM {t}" for t in ("root", "at0", "at1"))
+    splits = " UNION ALL ".join(f"SELECT path, feature, upper, gain FROM split{i} WHERE gain > 0" for i in (0, 1))
+    body = f"""SELECT path, feature, round(upper, 6) AS threshold, round(gain, 6) AS gain, row_count, round(value, 6) AS value
+        FROM (SELECT path, count(*) AS row_count, -(sum(0.5 - machine_failure) / (sum(0.25) + 1))::DOUBLE AS value
+            FROM ({nodes}) JOIN newest USING (udi) GROUP BY path)
+        LEFT JOIN ({splits}) USING (path)"""
+    return Q.with_training(
+        body,
+        f"newest AS (SELECT * FROM featured ORDER BY udi DESC LIMIT {S.TRAINING_WINDOW})",
+        f"valued AS ({values})",
+        f"""steps AS (SELECT feature, v, floor((sum(count(*)) OVER w - count(*)) * {B.BINS} / sum(count(*)) OVER (PARTITION BY feature)) AS bin
+            FROM valued GROUP BY feature, v WINDOW w AS (PARTITION BY feature ORDER BY v))""",
+        "binned AS (SELECT udi, y, no, feature, bin, max(v) OVER (PARTITION BY feature, bin) AS upper FROM valued JOIN steps USING (feature, v))",
+        "root AS (SELECT udi, '' AS path FROM newest)",
+        _histogram_sql(0, "root"),
+        _histogram_sql(1, "at0"),
+    )
+
+
+@query("m3_boosted_tree", _tree_sql())
+def m3_tree(spark, sf):
+    """Splits, gains and leaf values of a first tree of two levels on the failure target."""
+    rows = engineer_features(training_window(A.training(spark, sf)))
+    rows = rows.select(F.col("udi").alias("key"), F.col("machine_failure").alias("label"), F.lit(0).alias("fold"), *S.NUMERIC_FEATURES)
+    cuts = B.cut_points(rows, S.NUMERIC_FEATURES)
+    tree = B.boost(rows, S.NUMERIC_FEATURES, [TREE], cuts)[0].rounds[0][0]
+    schema = "path string, feature string, threshold double, gain double, row_count long, value double"
+    out = spark.createDataFrame(B.tree_rows(tree, S.NUMERIC_FEATURES, cuts), schema)
+    return out.withColumns({c: F.round(c, 6) for c in ("threshold", "gain", "value")})
+
+
 @query("m15_training_run")
 def m15(spark, sf):
     """Metrics and parameters of a run, as maps."""
@@ -147,13 +208,13 @@ def m17(spark, sf):
 
 @query("m18_early_stopping")
 def m18(spark, sf):
-    """Trees kept of all when a fold decides where boosting stops."""
-    rows = trained(spark, sf, "lgbm_binary").scored.select("udi", "label", "is_test")
-    features = engineer_features(A.training(spark, sf)).join(rows, "udi")
-    vectors = MM.feature_pipeline(scale=False).fit(features).transform(features).select("features", F.col("label").cast("double"), "is_test")
+    """Rounds grown and kept when each of three folds in turn decides when boosting has gained nothing for 20 rounds."""
     experiment = EXPERIMENTS["lgbm_binary"]
-    member = MM.fit_member(experiment, experiment.params("full"), vectors, validation=F.col("is_test"))
-    return vectors.groupBy("is_test").agg(F.count("*").alias("row_count")).withColumn("trees", F.lit(member.stages[0].getNumTrees))
+    train = with_folds(MM.prepare(training_window(A.training(spark, sf)), experiment).where("NOT is_test"), "label", S.CALIBRATION_FOLDS)
+    vectors = MM.feature_pipeline(scale=False).fit(train).transform(train)
+    ensembles = MM.boosted_by_fold(experiment, experiment.params("full"), vectors, patience=20)
+    rows = [(f, e.grown, e.kept, float(min(e.losses)), float(e.losses[-1])) for f, e in enumerate(ensembles)]
+    return spark.createDataFrame(rows, "fold int, rounds_grown int, rounds_kept int, least_loss double, last_loss double")
 
 
 @query("m19_train_with_best")
