@@ -74,17 +74,40 @@ def ecdf(counts: DataFrame) -> DataFrame:
 # than hundreds of Column calls. A one-element transform() names a value once.
 
 
+EXACT_CELLS = 10_000_000
+
+
+def exact_kolmogorov_p(d: str, n_ref: str, n_cur: str) -> str:
+    """SQL for the chance that two samples of one distribution are at least ``d`` apart.
+
+    Merging two samples in order is a lattice path. ``p`` holds, for one number
+    of steps and by steps of the smaller sample, the share of paths that have
+    stayed closer than ``d`` so far; every step makes it from the one before.
+    """
+    inside = f"abs(i * big - (step - i) * small) < round(({d}) * small * big)"
+    reached = "p[i] * (step - i) / step + if(i > 0, p[i - 1] * i / step, 0D)"
+    follow = f"transform(sequence(0L, small), i -> if(step - i BETWEEN 0 AND big AND {inside}, {reached}, 0D))"
+    start = "transform(sequence(0L, small), i -> if(i = 0, 1D, 0D))"
+    paths = f"aggregate(sequence(1L, small + big), {start}, (p, step) -> {follow})[small]"
+    return f"""transform(array(least({n_ref}, {n_cur})), small -> transform(array(greatest({n_ref}, {n_cur})),
+        big -> if(round(({d}) * small * big) <= 0, 1D, greatest(0D, 1D - {paths})))[0])[0]"""
+
+
 def kolmogorov_p(d: str, n_ref: str, n_cur: str) -> Column:
-    """Two-sample KS p-value from the limiting distribution (100 terms).
+    """Two-sample KS p-value: exact for small samples, else from the limiting distribution (100 terms).
 
-    Below 0.2 the distribution is 1 to twelve digits and the series is slow.
+    The exact one takes as many steps as the product of the sizes, up to
+    ``EXACT_CELLS``. Below 0.2 the limit is 1 to twelve digits and its series is slow.
     """
     scaled = f"({d}) * sqrt(try_divide(({n_ref}) * ({n_cur}), ({n_ref}) + ({n_cur})))"
     term = "if(k % 2 = 1, 1D, -1D) * exp(-2D * k * k * x * x)"
     series = f"2D * aggregate(sequence(1, 100), 0D, (total, k) -> total + {term})"
+    small = f"({n_ref}) > 0 AND ({n_cur}) > 0 AND double({n_ref}) * ({n_cur}) <= {EXACT_CELLS}"
+    long = [f"cast({n} AS bigint)" for n in (n_ref, n_cur)]
     return F.expr(
-        f"""transform(array({scaled}), x -> CASE WHEN x IS NULL THEN NULL WHEN x < 0.2 THEN 1D
-        ELSE least(1D, greatest(0D, {series})) END)[0]"""
+        f"""CASE WHEN ({d}) IS NOT NULL AND {small} THEN {exact_kolmogorov_p(d, *long)} ELSE
+        transform(array({scaled}), x -> CASE WHEN x IS NULL THEN NULL WHEN x < 0.2 THEN 1D
+        ELSE least(1D, greatest(0D, {series})) END)[0] END"""
     )
 
 
