@@ -26,29 +26,28 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def raw_training_rows():
-    """Five groups of fifteen rows, one failure kind each, in raw layout."""
-    groups = [("none", 0), ("TWF", 1), ("HDF", 1), ("PWF", 1), ("OSF", 1)]
-    rows, udi = [], 0
-    for flag, failed in groups:
-        for i in range(15):
-            udi += 1
-            flags = {f: int(f == flag) for f in ("TWF", "HDF", "PWF", "OSF")}
-            rows.append(
-                (
-                    udi, f"M{udi}", "LMH"[i % 3], 296.2 + 0.21 * (i % 8), 306.4 + 0.17 * (i % 11), 1410 + 9 * (i % 7), 31.5 + 0.45 * (i % 9),
-                    4 + 3 * (i % 12), failed, flags["TWF"], flags["HDF"], flags["PWF"], flags["OSF"], 0,
-                )
-            )
-    return rows
+# How many rows of each derived label the small training table has.
+LABEL_ROWS = {"none": 34, "hdf": 12, "pwf": 12, "osf": 9, "twf": 8}
 
 
 @pytest.fixture(scope="session")
 def training(spark):
+    """The first rows of each failure label among generated sensor rows, numbered from 1."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
     from toolpulse import schemas as S
-    from toolpulse.functions.features import to_clean_names
+    from toolpulse.functions.labels import failure_label
+    from toolpulse.plans import adapters
 
-    return to_clean_names(spark.createDataFrame(raw_training_rows(), S.RAW_TRAINING_SCHEMA)).cache()
+    rows = adapters._with_failures(spark.range(40_000).selectExpr("id AS k", *adapters.sensors("id")))
+    place = F.row_number().over(Window.partitionBy("label").orderBy("k"))
+    wanted = F.create_map(*[F.lit(v) for pair in LABEL_ROWS.items() for v in pair])[F.col("label")]
+    chosen = rows.withColumn("label", failure_label()).withColumn("place", place).where(F.col("place") <= wanted)
+    numbered = chosen.withColumn("udi", F.row_number().over(Window.orderBy("k")).cast("long"))
+    named = numbered.withColumn("product_id", F.concat("type", F.col("udi").cast("string")))
+    kinds = [F.col(f.name).cast(f.dataType) for f in S.TRAINING_SCHEMA]
+    return spark.createDataFrame(named.select(*kinds).collect(), S.TRAINING_SCHEMA).cache()
 
 
 @pytest.fixture(scope="session")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from toolpulse import schemas as S
 from toolpulse.sources import writers
+from toolpulse.sources.commit_log import CommitLog
 
 PRODUCTION = "production"
 
@@ -111,7 +112,7 @@ def serving_status(models: DataFrame, production: DataFrame, measured: DataFrame
 
 @dataclass
 class Registry:
-    """Three append-only tables in one folder. One writer at a time."""
+    """Three append-only tables in one folder. Version numbers come from a commit log, so no two writers get the same."""
 
     spark: SparkSession
     root: str
@@ -135,8 +136,12 @@ class Registry:
         return self._read("aliases", S.ALIASES_SCHEMA)
 
     def next_version(self, model_name: str) -> int:
+        """A version number that nobody else gets: above all stored and all reserved ones."""
         found = self.versions().where(F.col("model_name") == model_name)
-        return (found.agg(F.max(F.col("version").cast("long"))).first()[0] or 0) + 1
+        stored = found.agg(F.max(F.col("version").cast("long"))).first()[0] or 0
+        numbers = CommitLog(self.spark, f"{self.root}/version-numbers", lambda state, e: {**state, e["model"]: e["version"]})
+        entry = numbers.commit(lambda state: {"model": model_name, "version": max(stored, state.get(model_name, 0)) + 1})
+        return entry["version"]
 
     def register(
         self, model_name: str, experiment: str, run_id: str, path: str, metrics: dict, params: dict, tags: dict

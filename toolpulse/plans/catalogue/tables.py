@@ -296,6 +296,19 @@ def j3(spark, sf):
     return store.rows().select("id")
 
 
+@query("j3_compacted_log", Q.with_readings("SELECT id, machine_id FROM readings WHERE id NOT IN (SELECT id FROM before)", BEFORE_SQL))
+def j3_compacted(spark, sf):
+    """Purged rows are gone from the files themselves; the log is its own copy, in several files."""
+    root = new_path(spark, "purge")
+    writers.append_readings(A.readings(spark, sf), f"{root}/log")
+    store = export.ReadingsStore(spark, f"{root}/log", f"{root}/purged")
+    store.purge(exported_before(spark, sf))
+    store.compact()
+    if store.files.state()["purges"]:
+        raise RuntimeError("purged ids are left after a compaction")
+    return store.rows().select("id", "machine_id")
+
+
 @query(
     "j4_not_exported",
     Q.with_readings("SELECT id, machine_id, torque_nm FROM readings WHERE id NOT IN (SELECT id FROM before)", BEFORE_SQL),
@@ -343,6 +356,22 @@ def w2(spark, sf):
     return readers.current_sample(A.readings(spark, sf), SINCE)
 
 
+@query(
+    "w2_newest_by_file_ranges",
+    Q.with_readings(
+        f"""SELECT machine_type AS type, {', '.join(S.NUMERIC_FEATURES)} FROM (SELECT * FROM readings
+        WHERE id NOT IN (SELECT id FROM before) ORDER BY "timestamp" DESC, id DESC LIMIT 1000)""",
+        BEFORE_SQL,
+    ),
+)
+def w2_files(spark, sf):
+    """The newest thousand readings that were not purged, from the files that can hold them."""
+    root = new_path(spark, "purge")
+    store = export.ReadingsStore(spark, A.readings_path(spark, sf), f"{root}/purged")
+    store.purge(exported_before(spark, sf))
+    return store.sample(limit=1000)
+
+
 @query("w3_training_window", Q.with_training(f"SELECT {CLEAN} FROM training ORDER BY udi DESC LIMIT 50000"))
 def w3(spark, sf):
     return readers.training_window(A.training(spark, sf))

@@ -12,7 +12,7 @@ from toolpulse.operators.models import register_model, train_model, tune_model
 from toolpulse.operators.registry import Registry
 from toolpulse.sources import writers
 from toolpulse.sources.durable import materialise
-from toolpulse.sources.readers import current_sample, training_window
+from toolpulse.sources.readers import training_window
 
 
 @dataclass
@@ -71,7 +71,7 @@ def check_drift(
     to the caller, and the next check exports the same readings.
     """
     spark = space.spark
-    current = materialise(current_sample(space.readings.rows(), since, limit), "current-sample")
+    current = materialise(space.readings.sample(since, limit), "current-sample")
     if current.isEmpty():
         writers.append_check_log(spark, space.check_log, False, False)
         return CheckResult("NO_DATA")
