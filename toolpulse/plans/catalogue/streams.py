@@ -13,7 +13,7 @@ from toolpulse.plans.catalogue.columns import CANDIDATE_SQL, REASONS_SQL, candid
 from toolpulse.plans.catalogue.drift import drift_ctes, reference
 from toolpulse.sources import writers
 from toolpulse.sources.durable import new_path, shared_path
-from toolpulse.streaming import monitor, scoring
+from toolpulse.streaming import monitor, scoring, tool_state
 from toolpulse.streaming.sources import readings_stream
 
 
@@ -75,6 +75,29 @@ def t4(spark, sf):
     return newest.groupBy("machine_id").agg(F.count("*").alias("readings"))
 
 
+@query(
+    "w11_tool_cycles_stream",
+    Q.with_readings(
+        """SELECT machine_id, CAST(cycle AS BIGINT) AS cycle, count(*) AS readings, max(tool_wear_minutes) AS max_wear,
+        CAST(sum(injected_failure) AS BIGINT) AS failures, 0::BIGINT AS late_readings
+        FROM (SELECT *, sum(r) OVER (PARTITION BY machine_id ORDER BY id) AS cycle
+          FROM (SELECT *, CASE WHEN tool_wear_minutes < lag(tool_wear_minutes) OVER (PARTITION BY machine_id ORDER BY id) THEN 1 ELSE 0 END AS r FROM readings))
+        GROUP BY 1, 2"""
+    ),
+)
+def w11_stream(spark, sf):
+    """Six batches in the order of ids, with a new start from the checkpoint before each."""
+    root = new_path(spark, "stream")
+    log = A.readings(spark, sf)
+    first, last = log.agg(F.min("id"), F.max("id")).first()
+    sixth = F.floor((F.col("id") - first) * 6 / (last - first + 1))
+    for part in range(6):
+        writers.append_readings(log.where(sixth == part), f"{root}/log")
+        arriving = readings_stream(spark, f"{root}/log")
+        tool_state.track_tools(arriving, f"{root}/cycles", f"{root}/checkpoint").awaitTermination()
+    return tool_state.tracked_tools(spark, f"{root}/cycles")
+
+
 @query(
     "t5_machine_wear",
     Q.with_readings(
