@@ -63,17 +63,23 @@ def dense(rows, cuts, run):
     return margins
 
 
+@pytest.fixture(params=[0, B.SHARED_ROWS], ids=["dealt", "shared"])
+def both_ways(request, monkeypatch):
+    """Rows in blocks on executors, and rows as one shared block."""
+    monkeypatch.setattr(B, "SHARED_ROWS", request.param)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 100)
+
+
 @pytest.mark.parametrize(
     "run, target",
     [
-        (B.Boosting(trees=4, depth=3, rate=0.5), "label"),
-        (B.Boosting(trees=3, depth=2, l2=0.0, min_rows=20, weights=(1.0, 4.0), held_fold=1), "label"),
-        (B.Boosting(classes=3, trees=3, depth=3, min_hessian=1.0, held_fold=2), "kind"),
+        (B.Boosting(trees=2, depth=3, rate=0.5), "label"),
+        (B.Boosting(trees=2, depth=2, l2=0.0, min_rows=20, weights=(1.0, 4.0), held_fold=1), "label"),
+        (B.Boosting(classes=3, trees=2, depth=3, min_hessian=1.0, held_fold=2), "kind"),
         (B.Boosting(classes=3, trees=2, depth=2, curvature=1.25, start=False, weights=(2.0, 1.0, 0.5)), "kind"),
     ],
 )
-def test_margins_equal_dense_growing(table, run, target, monkeypatch):
-    monkeypatch.setattr(B, "BLOCK_ROWS", 100)
+def test_margins_equal_dense_growing(table, run, target, both_ways):
     rows = table.withColumn("label", F.col(target))
     cuts = B.cut_points(rows, FEATURES, 16)
     found = rows.collect()
@@ -84,7 +90,8 @@ def test_margins_equal_dense_growing(table, run, target, monkeypatch):
     assert ensemble.grown == ensemble.kept == run.trees
 
 
-def test_runs_grown_together_equal_runs_alone(table):
+def test_runs_grown_together_equal_runs_alone(table, monkeypatch):
+    monkeypatch.setattr(B, "SHARED_ROWS", 0)
     cuts = B.cut_points(table, FEATURES, 16)
     runs = [
         B.Boosting(trees=3, depth=2, held_fold=0),
@@ -94,6 +101,10 @@ def test_runs_grown_together_equal_runs_alone(table):
     together = B.boost(table, FEATURES, runs, cuts)
     for run, own in zip(runs, together):
         alone = B.boost(table, FEATURES, [run], cuts)[0]
+        with monkeypatch.context() as shared:
+            shared.setattr(B, "SHARED_ROWS", 10_000)
+            same = B.boost(table, FEATURES, [run], cuts)[0]
+        assert [[t.feature for t in r] for r in same.rounds] == [[t.feature for t in r] for r in own.rounds]
         assert [[t.feature for t in r] for r in alone.rounds] == [[t.feature for t in r] for r in own.rounds]
         assert alone.losses == pytest.approx(own.losses) and len(own.losses) == (run.held_fold is not None)
     assert max(len(t.feature) for r in together[1].rounds for t in r) == 2 * 5 - 1
@@ -103,8 +114,8 @@ def test_patience_keeps_the_best_of_the_recorded_losses(table):
     flipped = F.when(F.xxhash64("key") % 3 == 0, 1 - F.col("label")).otherwise(F.col("label"))
     noisy = table.withColumn("label", flipped)
     cuts = B.cut_points(noisy, FEATURES, 32)
-    runs = [B.Boosting(trees=60, depth=4, rate=0.5, held_fold=f, patience=5) for f in range(3)]
-    longer = [B.Boosting(trees=60, depth=4, rate=0.5, held_fold=f, patience=60) for f in range(3)]
+    runs = [B.Boosting(trees=25, depth=4, rate=0.5, held_fold=f, patience=5) for f in range(3)]
+    longer = [B.Boosting(trees=25, depth=4, rate=0.5, held_fold=f, patience=25) for f in range(3)]
     for run, own, whole in zip(runs, B.boost(noisy, FEATURES, runs, cuts), B.boost(noisy, FEATURES, longer, cuts)):
         best, waited, kept = whole.losses[0], 0, 0
         for i, loss in enumerate(whole.losses[1:], 1):
@@ -114,12 +125,12 @@ def test_patience_keeps_the_best_of_the_recorded_losses(table):
                 waited += 1
                 if waited == run.patience:
                     break
-        assert (own.kept, own.grown) == (kept, kept + run.patience) and own.grown < 60
+        assert (own.kept, own.grown) == (kept, kept + run.patience) and own.grown < 25
         assert own.losses == pytest.approx(whole.losses[: own.grown + 1])
         assert len(B.BoostedTrees.of(own, cuts).trees[0]) == kept
 
 
-def test_held_out_confusion_is_that_of_the_kept_trees(table):
+def test_held_out_confusion_is_that_of_the_kept_trees(table, both_ways):
     cuts = B.cut_points(table, FEATURES, 16)
     rows = table.withColumn("label", F.col("kind"))
     run = B.Boosting(classes=3, trees=12, depth=2, held_fold=1, patience=3)

@@ -10,6 +10,11 @@ Rows live in blocks of bytes, kept by the executors between levels together
 with the margins of the ensembles. A lost block is computed again from the one
 of the round before; every ``CHECKPOINT_ROUNDS`` rounds that chain is cut by a
 checkpoint in the shared folder.
+
+Up to ``SHARED_ROWS`` rows, as in the training window, a job per level costs more
+than its sums. Such rows are one block that every task gets, and each task
+grows one ensemble by the same steps; classes of one ensemble need each other,
+folds and trials do not.
 """
 
 import json
@@ -28,6 +33,7 @@ from toolpulse.sources.durable import materialise, work_dir
 BINS = 64
 BLOCK_ROWS = 8192
 CHECKPOINT_ROUNDS = 25
+SHARED_ROWS = 200_000
 LEAF = -1
 
 
@@ -138,10 +144,10 @@ class Tree:
         return np.array(self.feature), np.array(self.bin), np.array(self.left), np.array(self.value)
 
 
-def nodes_of(tree, bins: np.ndarray, depth: int) -> np.ndarray:
-    """The node every row ends in."""
+def nodes_of(tree, bins: np.ndarray, depth: int, at: np.ndarray | None = None) -> np.ndarray:
+    """The node every row is in after ``depth`` steps from ``at`` (the root)."""
     feature, cut, left, _ = tree
-    at = np.zeros(len(bins), dtype=np.int64)
+    at = np.zeros(len(bins), dtype=np.int64) if at is None else at
     rows = np.arange(len(bins))
     for _ in range(depth):
         own = feature[at]
@@ -204,27 +210,44 @@ class _Layout:
         return int(self.starts[-1])
 
 
-def _histograms(block, margins, runs, first, round_no, growing, layout: _Layout, measured: list[int]) -> np.ndarray:
-    """Sums of a block, flat: per growing tree (slots, cells, 3), then loss, weight and confusion of the runs to measure."""
+def _learning(block, margins, run: Boosting, first: int, round_no: int, layout: _Layout):
+    """Bins, histogram cells and derivatives of the rows that a run learns from in a round."""
     bins, label, fold, keys = block
-    cells = bins + layout.starts[:-1]
+    take = np.ones(len(label), dtype=bool) if run.held_fold is None else fold != run.held_fold
+    if run.row_share < 1:
+        take &= _drawn(keys, run.seed * 100_003 + round_no) < run.row_share
+    g, h = gradients(run, label[take], margins[take, first : first + run.margins])
+    rows = bins[take]
+    return rows, rows + layout.starts[:-1].astype(np.int32), g, h
+
+
+def _histograms(block, margins, runs, first, round_no, growing, layout: _Layout, measured: list[int], kept: dict | None = None) -> np.ndarray:
+    """Sums of a block, flat: per growing tree (slots, cells, 3), then loss, weight and confusion of the runs to measure.
+
+    ``kept`` carries what a round's levels have in common from call to call.
+    """
+    _, label, fold, _ = block
+    kept = {} if kept is None else kept
+    if kept.get("round") != round_no:
+        kept.clear()
+        kept["round"] = round_no
     out = []
     for r, models in growing:
-        run = runs[r]
-        take = np.ones(len(label), dtype=bool) if run.held_fold is None else fold != run.held_fold
-        if run.row_share < 1:
-            take &= _drawn(keys, run.seed * 100_003 + round_no) < run.row_share
-        own = margins[take, first[r] : first[r] + run.margins]
-        g, h = gradients(run, label[take], own)
-        rows, own_cells = bins[take], cells[take]
+        if r not in kept:
+            kept[r] = _learning(block, margins, runs[r], first[r], round_no, layout)
+        rows, cells, g, h = kept[r]
+        width = rows.shape[1]
         for k, tree, slot_of, slots, depth in models:
-            slot = slot_of[nodes_of(tree, rows, depth)]
-            inside = slot >= 0
-            place = (own_cells[inside] + slot[inside, None] * layout.cells).ravel()
+            done, at = kept.get((r, k), (0, None))
+            at = nodes_of(tree, rows, depth - done, at)
+            kept[(r, k)] = (depth, at)
+            slot = slot_of[at]
+            inside = np.flatnonzero(slot >= 0)
+            place = (cells[inside] + (slot[inside] * layout.cells)[:, None]).ravel()
             size = slots * layout.cells
             sums = np.empty((size, 3))
             for c, value in enumerate((g[inside, k], h[inside, k])):
-                sums[:, c] = np.bincount(place, np.repeat(value, bins.shape[1]), minlength=size)
+                sums[:, c] = np.bincount(place, np.repeat(value, width), minlength=size)
             sums[:, 2] = np.bincount(place, minlength=size)
             out.append(sums.ravel())
     for r in measured:
@@ -232,8 +255,8 @@ def _histograms(block, margins, runs, first, round_no, growing, layout: _Layout,
         held = fold == run.held_fold
         own, truth = margins[held, first[r] : first[r] + run.margins], label[held]
         called = (own[:, 0] > 0).astype(int) if run.margins == 1 else own.argmax(axis=1)
-        cells = np.bincount(truth * run.classes + called, minlength=run.classes**2)
-        out.append(np.concatenate([[log_loss(run, truth, own), _weights(run, truth).sum()], cells]))
+        hits = np.bincount(truth * run.classes + called, minlength=run.classes**2)
+        out.append(np.concatenate([[log_loss(run, truth, own), _weights(run, truth).sum()], hits]))
     return np.concatenate(out) if out else np.zeros(0)
 
 
@@ -378,21 +401,19 @@ def _columns(run: Boosting, width: int, round_no: int) -> np.ndarray:
 
 
 def boost(rows: DataFrame, features: list[str], runs: list[Boosting], cuts: list[np.ndarray], keep_trees: bool = True) -> list[Ensemble]:
-    """Train all ``runs`` in step on ``key, label, fold`` and the feature columns of ``rows``.
+    """Train all ``runs`` on ``key, label, fold`` and the feature columns of ``rows``.
 
     Labels are whole numbers from 0, keys are unique longs; ``fold`` may be null
     where no run holds one out. Without ``keep_trees`` only what was measured
-    on the held-out folds is returned.
+    on the held-out folds is returned. Results do not depend on how the rows
+    are dealt out, but for the last digits of sums.
     """
     context = rows.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{work_dir(rows.sparkSession)}/checkpoints")
     kept = rows.select("key", F.col("label").cast("int").alias("label"), F.coalesce("fold", F.lit(-1)).alias("fold"), *features)
     sizes = {(r["fold"], r["label"]): r["count"] for r in kept.groupBy("fold", "label").count().collect()}
-    if not sizes:
+    total = sum(sizes.values())
+    if not total:
         raise ValueError("no rows to learn from")
-    kept = materialise(kept.repartition(-(-sum(sizes.values()) // BLOCK_ROWS), "key"), "boosting-rows")
-    first = np.concatenate([[0], np.cumsum([run.margins for run in runs])]).astype(int)
     layout = _Layout([len(c) for c in cuts])
     ensembles = []
     for run in runs:
@@ -400,18 +421,33 @@ def boost(rows: DataFrame, features: list[str], runs: list[Boosting], cuts: list
         for (fold, label), n in sizes.items():
             own[label] = own.get(label, 0) + n * (fold != run.held_fold)
         ensembles.append(Ensemble(run, start_margins(run, own)))
-    at_start = np.array([m for e in ensembles for m in e.start])
+    if total <= SHARED_ROWS:
+        parts = _blocks(kept, features, cuts).collect()  # a few bytes per row, of SHARED_ROWS at most
+        block = tuple(np.concatenate(columns) for columns in zip(*parts))
+        # By key, so that sums do not depend on the order of arrival.
+        order = np.argsort(block[3], kind="stable")
+        shared = context.broadcast(tuple(c[order] for c in block))
+
+        def alone(ensemble: Ensemble) -> Ensemble:
+            return _grown([ensemble], layout, len(features), _Shared(shared.value, [ensemble], layout), keep_trees)[0]
+
+        return context.parallelize(ensembles, len(ensembles)).map(alone).collect()  # as large as the models
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{work_dir(rows.sparkSession)}/checkpoints")
+    kept = materialise(kept.repartition(-(-total // BLOCK_ROWS), "key"), "boosting-rows")
+    return _grown(ensembles, layout, len(features), _Dealt(_blocks(kept, features, cuts), ensembles, layout), keep_trees)
+
 
-    state = _blocks(kept, features, cuts).map(lambda block: (block, np.tile(at_start, (len(block[1]), 1))))
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    older = None
+def _grown(ensembles: list[Ensemble], layout: _Layout, width: int, rows, keep_trees: bool) -> list[Ensemble]:
+    """Grow all ensembles in step on ``rows``, which sums over rows and moves their margins."""
+    runs = [e.run for e in ensembles]
     active = [r for r, run in enumerate(runs) if run.trees > 0]
     round_no = 0
     while active:
-        growing = {r: [_Growing(runs[r], _columns(runs[r], len(features), round_no)) for _ in range(runs[r].margins)] for r in active}
+        growing = {r: [_Growing(runs[r], _columns(runs[r], width, round_no)) for _ in range(runs[r].margins)] for r in active}
         watched = [r for r in active if runs[r].patience is not None]
         while asked := [(r, models) for r in active if (models := [g.request(k) for k, g in enumerate(growing[r]) if g.asked])]:
-            sums = _summed(state, runs, first, round_no, asked, layout, watched)
+            sums = rows.summed(round_no, asked, watched)
             at = 0
             for r, models in asked:
                 for k, _, _, slots, _ in models:
@@ -426,16 +462,14 @@ def boost(rows: DataFrame, features: list[str], runs: list[Boosting], cuts: list
             ensembles[r].grown += 1
             if keep_trees:
                 ensembles[r].rounds.append(trees)
-        older, state = _advanced(state, older, [(first[r], runs[r].depth, trees) for r, trees in made], round_no)
+        rows.advance(round_no, made)
         round_no += 1
         finished = [r for r in active if ensembles[r].grown >= runs[r].trees]
         held = [r for r in finished if runs[r].held_fold is not None]
         if held:
-            _take_measures(ensembles, held, _summed(state, runs, first, round_no, [], layout, held), 0)
+            _take_measures(ensembles, held, rows.summed(round_no, [], held), 0)
         active = [r for r in active if r not in finished]
-    for rdd in (state, older):
-        if rdd is not None:
-            rdd.unpersist()
+    rows.close()
     return ensembles
 
 
@@ -447,35 +481,78 @@ def _take_measures(ensembles: list[Ensemble], of: list[int], sums: np.ndarray, a
     return at
 
 
-def _summed(state, runs, first, round_no, asked, layout, measured) -> np.ndarray:
-    def sums(pairs):
-        total = None
-        for block, margins in pairs:
-            own = _histograms(block, margins, runs, first, round_no, asked, layout, measured)
-            total = own if total is None else total + own
-        if total is not None:
-            yield total
+class _Rows:
+    """Places of the ensembles' margins among the columns of a block's margins."""
+
+    def __init__(self, ensembles: list[Ensemble], layout: _Layout):
+        self.runs, self.layout = [e.run for e in ensembles], layout
+        self.first = np.concatenate([[0], np.cumsum([run.margins for run in self.runs])]).astype(int)
+        self.start = np.array([m for e in ensembles for m in e.start])
+
+    def steps(self, made) -> list[tuple]:
+        return [(int(self.first[r]) + k, self.runs[r].depth, t.arrays()) for r, trees in made for k, t in enumerate(trees)]
+
+
+def _moved(bins: np.ndarray, margins: np.ndarray, steps: list[tuple]) -> np.ndarray:
+    margins = margins.copy()
+    for column, depth, tree in steps:
+        margins[:, column] += tree[3][nodes_of(tree, bins, depth)]
+    return margins
+
+
+class _Shared(_Rows):
+    """All rows in one block, held by the task that grows the ensemble."""
+
+    def __init__(self, block, ensembles: list[Ensemble], layout: _Layout):
+        super().__init__(ensembles, layout)
+        self.block, self.margins, self.kept = block, np.tile(self.start, (len(block[1]), 1)), {}
+
+    def summed(self, round_no: int, asked, measured) -> np.ndarray:
+        return _histograms(self.block, self.margins, self.runs, self.first, round_no, asked, self.layout, measured, self.kept)
+
+    def advance(self, round_no: int, made) -> None:
+        self.margins = _moved(self.block[0], self.margins, self.steps(made))
+
+    def close(self) -> None:
+        self.kept = {}
+
+
+class _Dealt(_Rows):
+    """Blocks on the executors; a level is one job."""
+
+    def __init__(self, blocks, ensembles: list[Ensemble], layout: _Layout):
+        super().__init__(ensembles, layout)
+        start = self.start
+        self.state = blocks.map(lambda block: (block, np.tile(start, (len(block[1]), 1)))).persist(StorageLevel.MEMORY_AND_DISK)
+        self.older = None
 
-    return state.mapPartitions(sums).treeReduce(np.add, depth=1 if state.getNumPartitions() <= 64 else 2)
+    def summed(self, round_no: int, asked, measured) -> np.ndarray:
+        runs, first, layout = self.runs, self.first, self.layout
 
+        def sums(pairs):
+            total = None
+            for block, margins in pairs:
+                own = _histograms(block, margins, runs, first, round_no, asked, layout, measured)
+                total = own if total is None else total + own
+            if total is not None:
+                yield total
 
-def _advanced(state, older, grown, round_no: int):
-    """The state with the margins of the new trees; keeps it and the one before."""
-    trees = [(int(at) + k, depth, tree.arrays()) for at, depth, made in grown for k, tree in enumerate(made)]
+        return self.state.mapPartitions(sums).treeReduce(np.add, depth=1 if self.state.getNumPartitions() <= 64 else 2)
 
-    def advance(pair):
-        block, margins = pair
-        margins = margins.copy()
-        for column, depth, tree in trees:
-            margins[:, column] += tree[3][nodes_of(tree, block[0], depth)]
-        return block, margins
+    def advance(self, round_no: int, made) -> None:
+        """Margins with the new trees; the state before stays until these are computed."""
+        steps = self.steps(made)
+        new = self.state.map(lambda pair: (pair[0], _moved(pair[0][0], pair[1], steps))).persist(StorageLevel.MEMORY_AND_DISK)
+        if round_no % CHECKPOINT_ROUNDS == CHECKPOINT_ROUNDS - 1:
+            new.checkpoint()
+        if self.older is not None:
+            self.older.unpersist()
+        self.older, self.state = self.state, new
 
-    new = state.map(advance).persist(StorageLevel.MEMORY_AND_DISK)
-    if round_no % CHECKPOINT_ROUNDS == CHECKPOINT_ROUNDS - 1:
-        new.checkpoint()
-    if older is not None:
-        older.unpersist()
-    return state, new
+    def close(self) -> None:
+        for rdd in (self.state, self.older):
+            if rdd is not None:
+                rdd.unpersist()
 
 
 # --- a trained ensemble on rows -------------------------------------------------------
