@@ -70,15 +70,15 @@ def docs_of(spark, words, parts=7):
     return docs_frame(spark, rows), [(r[0], r[1]) for r in rows]
 
 
-@pytest.mark.parametrize("limit", [V.LIMIT, 20, 2])
+@pytest.mark.parametrize("limit", [V.LIMIT, 4])
 def test_equals_all_pairs(spark, limit):
     """Small limits split the groups again and again."""
-    docs, rows = docs_of(spark, variants_of(150, 4))
+    docs, rows = docs_of(spark, variants_of(60, 4))
     assert as_rows(V.spelling_variants(docs, limit=limit)) == brute(rows)
 
 
 def test_every_pair_meets_in_one_group(spark):
-    words = variants_of(120, 9, "ab", (5, 8))
+    words = variants_of(50, 9, "ab", (5, 8))
     frame = spark.createDataFrame(list(words.items()), "word string, n long")
     for limit in (V.LIMIT, 8):
         for tile in (V.TILE, 4):
@@ -139,7 +139,7 @@ def test_very_long_words(spark):
 
 
 def test_sql_twin(spark):
-    docs, rows = docs_of(spark, variants_of(100, 6))
+    docs, rows = docs_of(spark, variants_of(50, 6))
     for frame, minimum in ((docs, 3), (odd_docs(spark), 2)):
         base = duckdb.connect()
         table = frame.toPandas()
