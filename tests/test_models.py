@@ -45,11 +45,14 @@ def test_every_experiment_trains_calibrated(runs, name):
     assert result.scored.count() == 75
 
 
-def test_full_presets_hold_reference_parameters():
+def test_full_presets_hold_reference_parameters(spark):
     xgb = EXPERIMENTS["xgb_binary"]
-    assert xgb.params("full") == {"trees": 155, "depth": 8, "rate": 0.0856, "min_rows": 1, "row_share": 0.6472, "column_share": 0.9604}
-    gbt = xgb.build(xgb.params("full"), 100)
-    assert (gbt.getMaxIter(), gbt.getMaxDepth(), gbt.getStepSize(), gbt.getSubsamplingRate()) == (155, 8, 0.0856, 0.6472)
+    assert xgb.params("full") == {
+        "trees": 155, "depth": 8, "rate": 0.0856, "min_hessian": 1, "l2": 0.2413, "row_share": 0.6472, "column_share": 0.9604, "curvature": 2.0
+    }
+    run = xgb.build(xgb.params("full"), 100)
+    assert (run.trees, run.depth, run.rate, run.l2, run.row_share, run.column_share) == (155, 8, 0.0856, 0.2413, 0.6472, 0.9604)
+    assert EXPERIMENTS["lgbm_multiclass"].build(EXPERIMENTS["lgbm_multiclass"].params("full"), 100).l2 == 2.0
     for experiment in EXPERIMENTS.values():
         params = {**experiment.params("full"), "inputs": 11, "outputs": experiment.classes}
         assert experiment.build(params, 1000) is not None
@@ -132,7 +135,7 @@ def test_search_needs_a_space(training):
 
 
 def test_search_starts_from_the_known_point(training):
-    limits = {"trees": 1, "depth": 2, "min_rows": 1}
+    limits = {"trees": 1, "depth": 2}
     best, table = MM.tune_model(training, EXPERIMENTS["xgb_binary"], n_trials=1, preset="fast", limits=limits)
     assert best["rate"] == 0.0856 and best["trees"] == 1
     assert [(r["trial"], r["folds"]) for r in table.collect()] == [(0, 5)]
