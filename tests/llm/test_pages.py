@@ -43,6 +43,44 @@ def test_learned_template_rejects(spark):
     assert got == {("/de/1", "block"), ("/de/2", "block"), ("/en/1", "allow"), ("/en/2", "allow")}
 
 
+def judged(spark, urls, rules):
+    df = spark.createDataFrame([(i, u, None, None, 1) for i, u in enumerate(urls)], PAGES)
+    return {r["path"]: (r["verdict"], r["template"]) for r in url_filters.judge_urls(df, rules).collect()}
+
+
+def test_sixty_equal_sections_keep_their_labels(spark):
+    """Each section holds under two percent of its host."""
+    rules = [url_filters.Rule("a.com", f"/s{k:02}/0", "block" if k % 3 == 0 else "allow") for k in range(60)]
+    urls = [f"http://a.com/s{k:02}/{i % 2}{i}" for k in range(60) for i in range(16)]
+    got = judged(spark, urls, rules)
+    assert all(v == (("block" if int(p[2:4]) % 3 == 0 else "allow"), got[p][1]) for p, v in got.items())
+    assert {t for p, (_, t) in got.items() if int(p[2:4]) % 3 == 0} == {f"/s{k:02}/**" for k in range(0, 60, 3)}
+
+
+def test_literal_at_the_fifth_level_below_variable_ones(spark):
+    names = ("ads", "docs")
+    rules = [url_filters.Rule("a.com", f"/x/{i}/b/c/{n}/1", "block" if n == "ads" else "allow") for i in range(20) for n in names]
+    urls = [f"http://a.com/x/{i}/b/c/{n}/{j}" for i in range(20) for n in names for j in (1, 2)]
+    got = judged(spark, urls, rules)
+    assert {p for p, (v, _) in got.items() if v == "block"} == {p for p in got if "/ads/" in p}
+    assert {t for _, t in got.values()} == {"/*/*/*/*/ads/**", "/*/*/*/*/docs/**"}
+
+
+def test_templates_without_a_label_are_allowed(spark):
+    rules = [url_filters.Rule("a.com", "/de/", "block"), url_filters.Rule("a.com", "/fr/", "allow")]
+    urls = [f"http://a.com/{s}/{i}" for s, n in (("de", 30), ("fr", 10), ("en", 10)) for i in range(n)]
+    got = judged(spark, urls + ["http://a.com/en"], rules)
+    assert all(v == ("block" if p.startswith("/de/") else "allow") for p, (v, _) in got.items() if not p.startswith("/en/"))
+    assert got["/en"] == ("allow", "/*")
+
+
+def test_very_long_urls_and_rules_of_equal_length(spark):
+    rules = [url_filters.Rule("a.com", "/b", "allow"), url_filters.Rule("a.com", "/c", "block"), url_filters.Rule("a.com/", "b", "block")]
+    long_path = "/b" + "/x" * 50_000
+    got = judged(spark, [f"http://a.com{long_path}", "http://a.com/c" + "y" * 100_000, "http://a.com/" + "?" * 90_000], rules)
+    assert got[long_path][0] == "allow" and got["/c" + "y" * 100_000][0] == "block" and "/" in got
+
+
 def test_url_filter_without_rows_or_labels(spark):
     empty = spark.createDataFrame([], PAGES)
     assert url_filters.judge_urls(empty, queries.URL_RULES).count() == 0
