@@ -409,14 +409,16 @@ def drift_trend(reference: DataFrame, readings: DataFrame, bins: int = 10, every
     windows may grow without multiplying the reference.
     """
     ranges = feature_ranges(reference)  # one row per feature
-    ref_bins = binned_rows(reference, ranges, bins, "n").groupBy("feature").agg(
-        F.sum("n").alias("big_r"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("ref_bins")
-    )
     start = F.window("timestamp", every)["start"].alias("window_start")
-    per_window = binned_rows(readings, ranges, bins, "n", start, keep=("timestamp",))
-    per_window = per_window.groupBy("window_start", "feature").agg(
-        F.sum("n").alias("big_c"), F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("cur_bins")
-    )
+    windows = binned_rows(readings, ranges, bins, "n", start, keep=("timestamp",))
+    return binned_distances(binned_rows(reference, ranges, bins, "n"), windows, "window_start", bins)
+
+
+def binned_distances(reference: DataFrame, windows: DataFrame, window: str, bins: int = 10) -> DataFrame:
+    """Jensen-Shannon distance per window and feature, from rows per bin: ``feature, bin, n`` of both sides."""
+    by_bin = F.map_from_entries(F.collect_list(F.struct("bin", "n")))
+    ref_bins = reference.groupBy("feature").agg(F.sum("n").alias("big_r"), by_bin.alias("ref_bins"))
+    per_window = windows.groupBy(window, "feature").agg(F.sum("n").alias("big_c"), by_bin.alias("cur_bins"))
     joined = per_window.join(F.broadcast(ref_bins), "feature")  # one row of at most bins + 2 entries per feature
 
     def term(acc: Column, i: Column) -> Column:
@@ -431,7 +433,7 @@ def drift_trend(reference: DataFrame, readings: DataFrame, bins: int = 10, every
 
     total = F.aggregate(F.sequence(F.lit(0), F.lit(bins + 1)), F.lit(0.0), term)
     return joined.select(
-        "window_start",
+        window,
         "feature",
         F.col("big_c").alias("row_count"),
         F.sqrt(F.greatest(F.lit(0.0), total / F.lit(2.0))).alias("distance"),

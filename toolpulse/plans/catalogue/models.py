@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from toolpulse import schemas as S
 from toolpulse.functions.features import engineer_features
+from toolpulse.functions.labels import gated_failure_type
 from toolpulse.operators import boosting as B
 from toolpulse.operators import models as MM
 from toolpulse.operators.experiments import BINARY_MODEL, EXPERIMENTS, MULTICLASS_MODEL
@@ -259,8 +260,14 @@ def m20_checks(spark, sf):
     ),
 )
 def ordered(spark, sf):
-    """Every request's predictions as one list in the order of its readings."""
-    answers = ordered_answers(m20(spark, sf), "request_id", "position")
+    """Every request's predictions, by the fixed rule, as one list in the order of its readings."""
+    rows, _ = parse_requests(request_payloads(spark, sf))
+    failed = (A.rule_percent("machine_type") > 50).cast("int")
+    scored = rows.select(
+        "request_id", "position", failed.alias("machine_failure"), (A.rule_percent("machine_type") / 100).alias("failure_probability"),
+        gated_failure_type(failed, A.rule_type("machine_type")).alias("failure_type"),
+    )
+    answers = ordered_answers(scored, "request_id", "position")
     places = F.transform("predictions", lambda p: p["position"].cast("string"))
     return answers.select("request_id", "total_readings", F.array_join(places, ",").alias("positions"))
 

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from toolpulse import schemas as S
+from toolpulse.operators.daily_counts import DailyCounts
+from toolpulse.operators.drift import baseline_counts
 from toolpulse.operators.experiments import BINARY_MODEL, EXPERIMENTS, MULTICLASS_MODEL
 from toolpulse.operators.ranking import newest_rows
 from toolpulse.plans import adapters as A
@@ -10,7 +12,7 @@ from toolpulse.plans import jobs
 from toolpulse.plans import sql as Q
 from toolpulse.plans.catalogue import query
 from toolpulse.plans.catalogue.columns import CANDIDATE_SQL, REASONS_SQL, candidates
-from toolpulse.plans.catalogue.drift import drift_ctes, reference
+from toolpulse.plans.catalogue.drift import FEATURE_ROWS, TREND_SQL, drift_ctes, reference, rounded
 from toolpulse.sources import writers
 from toolpulse.sources.durable import new_path, shared_path
 from toolpulse.streaming import monitor, scoring, tool_state
@@ -53,6 +55,72 @@ def t2(spark, sf):
     return writers.read_check_log(spark, space.check_log).select("drift_detected", "retrain_triggered", exported.alias("exported"))
 
 
+def _daily_counts(spark, sf) -> DailyCounts:
+    """Counts of all readings, taken in by batches of one file, the first of them twice."""
+
+    def write(path):
+        counts = DailyCounts(spark, path)
+
+        def take_in(batch, batch_id):
+            for _ in range(2 if batch_id == 0 else 1):
+                counts.add(batch, batch_id)
+
+        arriving = readings_stream(spark, A.readings_path(spark, sf), files_per_batch=1)
+        writer = arriving.writeStream.foreachBatch(take_in).option("checkpointLocation", new_path(spark, "checkpoint"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    return DailyCounts(spark, shared_path(spark, f"daily-counts:{sf}", write))
+
+
+@query(
+    "t3_trend_from_daily_counts",
+    Q.with_both(
+        "SELECT strftime(day, '%Y-%m-%d') AS day, feature, row_count, round(distance, 6) AS distance, distance > 0.1 AS drifted FROM trend",
+        Q.numeric_counts(),
+        TREND_SQL,
+    ),
+)
+def t3_counts(spark, sf):
+    """The daily trend without reading the log."""
+    trend = _daily_counts(spark, sf).trend(reference(spark, sf))
+    return trend.select(
+        F.date_format("day", "yyyy-MM-dd").alias("day"), "feature", "row_count", F.round("distance", 6).alias("distance"), "drifted"
+    )
+
+
+@query(
+    "t2_sliding_week",
+    Q.with_both(
+        """SELECT strftime(day, '%Y-%m-%d') AS day, max(row_count) AS row_count, round(avg((distance > 0.1)::INT), 6) AS drift_share,
+        avg((distance > 0.1)::INT) >= 0.2 AS drifted FROM trend GROUP BY day""",
+        Q.numeric_counts(),
+        TREND_SQL.replace("days AS (", "single_days AS (").replace(
+            "cb AS (",
+            """days AS (SELECT e.day, feature, v FROM single_days s JOIN (SELECT DISTINCT day FROM single_days) e
+                ON s.day BETWEEN e.day - INTERVAL 6 DAY AND e.day),
+            cb AS (""",
+        ),
+    ),
+)
+def t2_week(spark, sf):
+    """Verdict over the seven days up to every day, merged from the counts of the days."""
+    week = _daily_counts(spark, sf).trend(reference(spark, sf), days=7)
+    share = F.avg(F.col("drifted").cast("int"))
+    return week.groupBy("day").agg(F.max("row_count").alias("row_count"), share.alias("share")).select(
+        F.date_format("day", "yyyy-MM-dd").alias("day"), "row_count", F.round("share", 6).alias("drift_share"),
+        (F.col("share") >= S.DRIFT_SHARE).alias("drifted"),
+    )
+
+
+@query(
+    "d10_report_from_daily_counts",
+    Q.with_both(FEATURE_ROWS, *drift_ctes()),
+)
+def d10_counts(spark, sf):
+    """The full report over all readings, from the counts."""
+    return rounded(_daily_counts(spark, sf).report(baseline_counts(reference(spark, sf))))
+
+
 @query(
     "t4_newest_in_log",
     Q.with_readings(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from toolpulse import schemas as S
+from toolpulse.operators.daily_counts import DailyCounts
 from toolpulse.operators.drift import baseline_counts
 from toolpulse.operators.lifecycle import wear_now
 from toolpulse.plans.jobs import CheckResult, Workspace, check_drift
@@ -24,19 +25,22 @@ def watch_drift(
     limit: int | None = S.CURRENT_ROW_LIMIT,
     purge: bool = True,
     report: Callable[[int, CheckResult], None] | None = None,
+    counts: DailyCounts | None = None,
 ) -> StreamingQuery:
     """Add each batch to the readings log, then check the newest readings of the log.
 
     The check reads the log, not the batch, so "newest" spans batches. A batch
     has its own folder in the log, and an export skips readings it has taken
     before, so a repeated batch changes nothing. The frozen reference is counted
-    once, when the stream starts.
+    once, when the stream starts. ``counts`` takes in every batch as well.
     """
     baseline = materialise(baseline_counts(reference), "baseline-counts")
 
     def process(batch: DataFrame, batch_id: int) -> None:
         arrived = writers.checked_not_null(batch, S.READINGS_SCHEMA)
         arrived.write.mode("overwrite").parquet(f"{space.readings.path}/batch={batch_id}")
+        if counts is not None:
+            counts.add(arrived, batch_id)
         result = check_drift(space, reference, limit=limit, purge=purge, baseline=baseline)
         if report is not None:
             report(batch_id, result)
