@@ -33,24 +33,40 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes boilerplate lines out; documents of which nothing else is left go."""
+    """Takes boilerplate lines out; documents of which nothing else is left go.
+
+    Null and empty texts stay as they are. Repeated rows and null ids are
+    documents of their own; a line counts once per source, and a null source is none.
+    """
     found = line_dedup.dedup_lines(docs.select(*COLUMNS))
     return _with_text(found.where("n_removed = 0 OR trim(BOTH ' \n\t\r' FROM text) <> ''"), F.col("text"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of similar documents the one with the smallest doc_id stays."""
+    """Of every group of similar documents the one with the smallest doc_id stays.
+
+    Null, empty and blank texts are like nothing and stay. Rows that share an id
+    are one document and stay or go together; rows without an id stay.
+    """
     found = jaccard_join.similar_documents(docs.select("doc_id", "text"), DUPLICATES)
     others = found.where("component_id <> doc_id").select("doc_id").distinct()
     return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts; every row stays, and ``n_chars`` follows the text.
+
+    Null and empty texts hold none. Equal rows get equal texts.
+    """
     return _with_text(secret_scan.redact(docs.select(*COLUMNS)), F.col("text"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a sequence, with its ids."""
+    """One row per piece of a sequence, with its ids.
+
+    A null or empty text has the end token alone. Repeated rows and null ids
+    are packed each for itself.
+    """
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
 
 
