@@ -190,8 +190,8 @@ def test_chi_square_tail(spark, x, df, p):
 
 @pytest.mark.parametrize("scaled, p", [(0.1, 1.0), (0.5, 0.963945), (1.0, 0.270000), (1.3581, 0.05), (3.0, 3.046e-8)])
 def test_kolmogorov_tail(spark, scaled, p):
-    # n * n / (n + n) = 1 for n = 2
-    row = spark.range(1).select(D.kolmogorov_p(f"{scaled}D", "2", "2").alias("p")).first()
+    # sqrt(n * n / (n + n)) = 100 for n = 20,000, which takes the limiting distribution
+    row = spark.range(1).select(D.kolmogorov_p(f"{scaled / 100}D", "20000", "20000").alias("p")).first()
     assert row["p"] == pytest.approx(p, abs=1e-5)
 
 
