@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from toolpulse.functions.labels import gated_failure_type, index_to_label
+from toolpulse.sources.durable import materialise
 
 
 def gate_and_detail(df: DataFrame, gate, detail=None) -> DataFrame:
@@ -23,6 +24,9 @@ def gate_and_detail(df: DataFrame, gate, detail=None) -> DataFrame:
     scored = scored.drop(*[c for c in scored.columns if c.startswith("gate_")])
     if detail is None:
         return scored.withColumn("failure_type", gated_failure_type(F.col("machine_failure"), None))
+    if not df.isStreaming:
+        # Both branches below read the gate's answer; unwritten, each would compute it for its filter and its rows.
+        scored = materialise(scored, "gated")
     failing = F.col("machine_failure") == 1
     typed = detail.transform(scored.where(failing), prefix="detail_")
     typed = typed.withColumn("failure_type", gated_failure_type(F.col("machine_failure"), index_to_label(F.col("detail_prediction"))))
