@@ -33,3 +33,15 @@ def test_gate_looks_at_a_row_once(spark):
     assert sum(r["failure_type"] is not None for r in rows) <= 20
     assert seen.value == 100
     assert typed.value <= 40
+
+
+def test_stored_models_score_only_the_rows_scored_before(spark, monkeypatch, training):
+    model, seen = counted_model(spark)
+    scored = training.where("udi <= 10").select("udi", F.when(F.col("udi") % 5 == 0, 1).otherwise(0).alias("prediction"))
+    monkeypatch.setattr(C, "registry", lambda spark, sf: None)
+    monkeypatch.setattr(C, "trained", lambda spark, sf, name: SimpleNamespace(scored=scored))
+    monkeypatch.setattr(C.A, "training", lambda spark, sf: training)
+    monkeypatch.setattr(C.MM, "load_production", lambda reg, name: (model, "1", 0.9))
+    rows = C.s15(spark, "").collect()
+    assert sum(r["row_count"] for r in rows) == sum(r["equal"] for r in rows) == 20
+    assert seen.value == 20
