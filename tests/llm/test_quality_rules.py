@@ -89,6 +89,13 @@ def test_labels_count_together_and_the_sample_is_bounded(spark):
     assert 40 <= len(few) <= 50 and few < set(got)
 
 
+def test_every_label_takes_part_in_the_fit(spark):
+    """More labels than the bound that once was; the fit sees the ids of all trusted documents."""
+    labels = spark.range(120_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    got = Q.labelled_sample(labels)
+    assert got.count() == 120_000 and got.where("trusted AND NOT held_out").count() > 50_000
+
+
 def test_odd_documents(spark):
     labels = labels_frame(spark, [(1, 1, 0), (5, 1, 0), (7, 0, 0)])
     out = Q.judge_documents(odd_docs(spark), labels)
