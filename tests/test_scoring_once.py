@@ -37,7 +37,7 @@ def test_gate_looks_at_a_row_once(spark):
 
 def test_stored_models_score_only_the_rows_scored_before(spark, monkeypatch, training):
     model, seen = counted_model(spark)
-    scored = training.where("udi <= 10").select("udi", F.when(F.col("udi") % 5 == 0, 1).otherwise(0).alias("prediction"))
+    scored = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(1, 11)], "udi long, prediction int")
     monkeypatch.setattr(C, "registry", lambda spark, sf: None)
     monkeypatch.setattr(C, "trained", lambda spark, sf, name: SimpleNamespace(scored=scored))
     monkeypatch.setattr(C.A, "training", lambda spark, sf: training)
