@@ -387,10 +387,16 @@ def feature_ranges(reference: DataFrame, numeric=S.NUMERIC_FEATURES) -> DataFram
 
 
 def binned_rows(frame: DataFrame, ranges: DataFrame, bins: int, n: str, *keys: Column, keep: tuple = ()) -> DataFrame:
-    """Rows per numeric feature and bin; each row is binned where it lies, so only bins are shuffled."""
-    rows = name_features(unpivot_features(frame, *keep, categorical=[]).where(F.col("value").isNotNull()), categorical=[])
+    """Rows per numeric feature and bin; each row is binned where it lies, so only bins are shuffled.
+
+    Rows meet their range and are counted by the place of the feature, a number; the few bins get its name.
+    """
+    places = F.array(*[F.lit(c) for c in S.NUMERIC_FEATURES])
+    placed = ranges.select(F.array_position(places, F.col("feature")).cast("int").alias("f"), "low", "high")
+    rows = unpivot_features(frame, *keep, categorical=[]).where(F.col("value").isNotNull())
     number = bin_number(F.col("value"), F.col("low"), F.col("high"), bins).alias("bin")
-    return rows.join(F.broadcast(ranges), "feature").groupBy(*keys, "feature", number).agg(F.count("*").alias(n))
+    counts = rows.join(F.broadcast(placed), "f").groupBy(*keys, "f", number).agg(F.count("*").alias(n))
+    return name_features(counts, categorical=[])
 
 
 def histograms(reference: DataFrame, current: DataFrame, bins: int = 10) -> DataFrame:
