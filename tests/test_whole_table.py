@@ -9,7 +9,9 @@ from toolpulse import schemas as S
 from toolpulse.plans.catalogue import models as Q
 
 ROWS = S.TRAINING_WINDOW + 100
-WHOLE = ["m10_logreg_multiclass_checks"]
+WHOLE = [
+    "m10_logreg_multiclass_checks", "m13_mlp_binary_checks",
+]
 
 
 @pytest.fixture(scope="module")
