@@ -110,6 +110,22 @@ def test_runs_grown_together_equal_runs_alone(table, monkeypatch):
     assert max(len(t.feature) for r in together[1].rounds for t in r) == 2 * 5 - 1
 
 
+def test_runs_in_groups_equal_runs_grown_together(table, monkeypatch):
+    """Few margins at once and sums added up on executors first change nothing but last digits."""
+    monkeypatch.setattr(B, "SHARED_ROWS", 0)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 100)
+    cuts = B.cut_points(table, FEATURES, 16)
+    runs = [B.Boosting(trees=2, depth=3, held_fold=f, rate=r) for f in (0, 1) for r in (0.1, 0.5)]
+    together = B.boost(table, FEATURES, runs, cuts)
+    assert [len(g) for g in B._groups(together)] == [4]
+    monkeypatch.setattr(B, "MARGINS_AT_ONCE", 3)
+    monkeypatch.setattr(B, "SUMS_AT_ONCE", 0)
+    assert [len(g) for g in B._groups(together)] == [3, 1]
+    for one, other in zip(together, B.boost(table, FEATURES, runs, cuts), strict=True):
+        assert one.run == other.run and one.losses == pytest.approx(other.losses)
+        assert [[t.feature for t in r] for r in one.rounds] == [[t.feature for t in r] for r in other.rounds]
+
+
 def test_patience_keeps_the_best_of_the_recorded_losses(table):
     flipped = F.when(F.xxhash64("key") % 3 == 0, 1 - F.col("label")).otherwise(F.col("label"))
     noisy = table.withColumn("label", flipped)

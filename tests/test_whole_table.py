@@ -10,8 +10,8 @@ from toolpulse.plans.catalogue import models as Q
 
 ROWS = S.TRAINING_WINDOW + 100
 WHOLE = [
-    "m7_rf_binary_checks", "m8_rf_multiclass", "m10_logreg_multiclass_checks", "m13_mlp_binary_checks",
-    "m14_mlp_multiclass_checks",
+    "m4_xgb_multiclass_checks", "m7_rf_binary_checks", "m8_rf_multiclass", "m10_logreg_multiclass_checks",
+    "m13_mlp_binary_checks", "m14_mlp_multiclass_checks", "m19_train_with_best",
 ]
 
 
