@@ -2,10 +2,12 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from test_full_presets import Called, record
 
 import __spark_entry__ as entry
 from toolpulse import schemas as S
+from toolpulse.operators.experiments import EXPERIMENTS
 from toolpulse.plans.catalogue import models as Q
 
 ROWS = S.TRAINING_WINDOW + 100
@@ -39,3 +41,13 @@ def test_sql_splits_every_row(long_table, name):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{long_table}/lineitem.parquet/*.parquet'")
     assert sum(r[0] for r in con.sql(f"SELECT row_count FROM ({entry.oracle_sql()[name]})").fetchall()) == ROWS
+
+
+def test_rows_that_lack_a_feature_are_split_but_not_called(training):
+    """They lie outside the window of newest rows where their keys are missing; the whole table has them."""
+    holes = training.withColumn("torque_nm", F.when(F.col("udi") % 10 != 3, F.col("torque_nm")))
+    lacking = holes.where("torque_nm IS NULL").count()
+    result = Q.MM.train_model(holes, EXPERIMENTS["logreg_multiclass"], "fast", {"iterations": 5})
+    assert lacking and result.scored.count() == training.count()
+    assert result.scored.where("prediction IS NULL AND probability IS NULL").count() == lacking
+    assert Q.MM.measure(result.scored, EXPERIMENTS["logreg_multiclass"]).first().asDict() == result.metrics
